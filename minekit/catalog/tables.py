@@ -771,12 +771,12 @@ def date_like_columns(spark, folder):
     return profile.column_profile(rows.select(*found), exact=False).select("column", "non_null")
 
 
-@query("""SELECT doc_id, len(list_filter(list_transform(string_split(text, ','), lambda x: trim(x)), lambda x: x <> '')) AS n_items FROM documents""")
+@query(r"""SELECT doc_id, len(list_filter(list_transform(string_split(text, ','), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) AS n_items FROM documents""")
 def list_item_count(spark, folder):
     return table(spark, folder, "documents").select("doc_id", text.item_count(F.col("text")).cast("long").alias("n_items"))
 
 
-@query("""SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(text, ','), lambda x: trim(x)), lambda x: x <> '')) AS item FROM conversations""")
+@query(r"""SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(text, ','), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')) AS item FROM conversations""")
 def split_list_cells(spark, folder):
     rows = table(spark, folder, "conversations")
     return rows.select("conv_id", "turn", F.explode(text.list_items(F.col("text"))).alias("item"))

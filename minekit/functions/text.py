@@ -96,7 +96,7 @@ def _without_dots(path: Column) -> Column:
 
 def list_items(c: Column, separator: str = ",") -> Column:
     """A delimited text cell as an array of trimmed, non-empty items."""
-    parts = F.transform(F.split(c, "\\Q" + separator + "\\E"), F.trim)
+    parts = F.transform(F.split(c, "\\Q" + separator + "\\E"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
     return F.filter(parts, lambda item: item != "")
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.bounds import attach
 from ..plans.hashing import slice_by_rank
 from ..plans.ordering import row_numbers
 
+_TOP_ROWS = 1_000  # Spark keeps at most this many rows per group ahead of a window's shuffle
+
 
 def train_test(
     df: DataFrame, ids: Sequence[str], train_size: float = 0.75, seed: int = 42, stratify: str | None = None
@@ -39,6 +41,12 @@ def time_split(
     shortest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.min("n").alias("n")).first()["n"] or 0
     if shortest < 2 or (test_size is not None and not 0 < test_size < shortest):
         raise ValueError("every series needs at least two rows and a test size below its length")
+    if test_size is not None and test_size <= _TOP_ROWS:
+        # A short tail is found by keeping the latest rows of each task; nothing is sorted as a whole.
+        latest = Window.partitionBy(*by).orderBy(F.desc(time))
+        tail = df.select(*by, time).withColumn("_r", F.row_number().over(latest)).filter(F.col("_r") <= test_size)
+        cut = tail.groupBy(*by).agg(F.min(time).alias("_cut"))
+        return attach(df, cut, by).withColumn("is_train", F.col(time) < F.col("_cut")).drop("_cut")
     # Halves round to even, the rule behind the sizes users know.
     held = F.lit(test_size) if test_size else F.greatest(F.lit(1), F.bround(F.col("_size") * (1 - train_size)))
     placed = time_positions(df, time, by)
