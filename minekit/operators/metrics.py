@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.bounds import attach, small_rows
+from ..plans.bounds import attach, join_facts, small_rows
 from ..plans.ordering import running_sums
 
 MAX_CLASSES = 1_000
@@ -33,7 +33,7 @@ def confusion_matrix(df: DataFrame, by: Sequence[str] = (), label="label", predi
     cells = seen.groupBy(*by).agg(F.sum("count").alias("_n")).withColumn(label, F.explode(classes))
     cells = cells.withColumn(prediction, F.explode(classes)).drop("_n")
     keys = [*by, label, prediction]
-    return attach(cells, seen, keys, how="left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
+    return join_facts(cells, seen, keys, how="left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
 
 
 def accuracy(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
@@ -76,7 +76,7 @@ def classification(
     )
     if score is None or not binary:
         return out.withColumn("ROC_AUC_Pos", F.lit(None).cast("double"))
-    return attach(out, roc_auc(df, positive, by, label, score), by, how="left").withColumnRenamed("auc", "ROC_AUC_Pos")
+    return join_facts(out, roc_auc(df, positive, by, label, score), by, how="left").withColumnRenamed("auc", "ROC_AUC_Pos")
 
 
 def macro(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
@@ -183,4 +183,4 @@ Metric = Callable[[DataFrame, Sequence[str]], DataFrame]
 def evaluate(df: DataFrame, metrics: Mapping[str, Metric], by: Sequence[str] = ()) -> DataFrame:
     """Run metric functions (predictions, by) -> one row per group, side by side."""
     tables = [m(df, by) for m in metrics.values()]
-    return functools.reduce(lambda a, b: attach(a, b, by, how="left"), tables)
+    return functools.reduce(lambda a, b: join_facts(a, b, by, how="left"), tables)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.bounds import attach, has_large_group, require
+from ..plans.bounds import attach, has_large_group, join_facts, require
 from ..plans.ordering import lagged
 from ..plans.quantiles import quantiles
 from .clean import numeric_names
@@ -28,7 +28,7 @@ def describe(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
         stats = _long(df.agg(*aggs), [_stat_entry(c, plain) for c in names])
         cut = quantiles(df, names, [0.25, 0.5, 0.75])
         cut = _long(cut, [F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in names])
-        return attach(stats, cut, ["column"]).select(
+        return join_facts(stats, cut, ["column"]).select(
             "column", "count", "mean", "std", "min", *_quartiles(F.col("q")), "max"
         )
     at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
@@ -74,7 +74,7 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     distinct = df.select(F.inline(pairs)).filter("value is not null").distinct().groupBy("column").agg(
         F.count("*").alias("distinct_values")
     )
-    return attach(table, distinct, ["column"], how="left").withColumn(
+    return join_facts(table, distinct, ["column"], how="left").withColumn(
         "distinct_values", F.coalesce("distinct_values", F.lit(0).cast("long"))
     )
 
@@ -233,7 +233,7 @@ def series_summary(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFr
         F.min(column).alias("min"), F.max(column).alias("max"),
     )
     cut = quantiles(df.select(*by, F.col(column).alias("_q")), ["_q"], [0.25, 0.5, 0.75], by)
-    both = attach(basic, cut, by)
+    both = join_facts(basic, cut, by)
     q = F.col("_q")
     return both.select(
         *by, "count", "mean", "std", "min", q[0].alias("q25"), q[1].alias("median"), q[2].alias("q75"),

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.bounds import GROUP_ROWS, attach, has_large_group, limit_of, pinned, require
+from ..plans.bounds import GROUP_ROWS, attach, has_large_group, join_facts, limit_of, pinned, require
 from ..plans.ordering import lagged, row_numbers
 from . import clean, linear, metrics, profile, reshape, split
 
@@ -30,7 +30,8 @@ def prepare(
 
 
 def lag_table(
-    df: DataFrame, time: str, value: str, lags: int = 12, by: Sequence[str] = (), features: Sequence[str] = ()
+    df: DataFrame, time: str, value: str, lags: int = 12, by: Sequence[str] = (), features: Sequence[str] = (),
+    large: bool | None = None,
 ) -> DataFrame:
     """(by, time, label, value_lag_1..lags, features) for rows where all of them are known."""
     require(df, time, value, *by, *features)
@@ -38,7 +39,7 @@ def lag_table(
         raise ValueError("lags must be a positive integer")
     extra = [c for c in features if c != value]
     kept = df.select(*by, time, *extra, F.col(value).try_cast("double").alias("label"))
-    out = lagged(kept, by, [time], {f"{value}_lag_{i}": ("label", i) for i in range(1, lags + 1)})
+    out = lagged(kept, by, [time], {f"{value}_lag_{i}": ("label", i) for i in range(1, lags + 1)}, large)
     names = [f"{value}_lag_{i}" for i in range(1, lags + 1)]
     return out.select(*by, time, "label", *names, *extra).na.drop("any", subset=["label", *names, *extra])
 
@@ -49,14 +50,14 @@ def lag_names(value: str, lags: int) -> list[str]:
 
 def lag_holdout(
     df: DataFrame, time: str, value: str, lags: int = 7, by: Sequence[str] = (), test_size: int | None = None,
-    alphas: Sequence[float] = (0.0,), features: Sequence[str] = (),
+    alphas: Sequence[float] = (0.0,), features: Sequence[str] = (), large: bool | None = None,
 ) -> DataFrame:
     """(alpha, by, time, label, prediction) for the last rows of each series.
 
     Every series has its own linear model (ridge where alpha > 0); the lag table is written once,
     because splitting, fitting and predicting all read it.
     """
-    table = pinned(lag_table(df, time, value, lags, by, features))
+    table = pinned(lag_table(df, time, value, lags, by, features, large))
     parts = split.time_split(table, time, by, test_size)
     xs = [*lag_names(value, lags), *[c for c in features if c != value]]
     made = []
@@ -109,7 +110,7 @@ def recursive_forecast(
     """(by, step, time, forecast): each value predicted feeds the lags of the next."""
     if not isinstance(horizon, int) or horizon <= 0:
         raise ValueError("horizon must be a positive integer")
-    ready = attach(last_values(df, time, value, lags, by), models, by).filter(F.size("history") >= lags)
+    ready = join_facts(last_values(df, time, value, lags, by), models, by).filter(F.size("history") >= lags)
 
     def extend(known: Column, _: Column) -> Column:
         nxt = linear.linear_value([F.element_at(known, -i) for i in range(1, lags + 1)])
@@ -175,7 +176,7 @@ def _ahead(state: np.ndarray, period: int, phase: int, horizon: int) -> list[flo
 
 def holt_winters(
     df: DataFrame, time: str, value: str, by: Sequence[str] = (), period: int = 7, horizon: int = 30,
-    grid: Sequence[tuple[float, float, float]] = GRID, step: str = "1 day",
+    grid: Sequence[tuple[float, float, float]] = GRID, step: str = "1 day", large: bool | None = None,
 ) -> DataFrame:
     """(by, step, time, forecast, alpha, beta, gamma, sse) with the weights of least squared error.
 
@@ -193,7 +194,7 @@ def holt_winters(
         row = [*keys, _ahead(state[g], period, phase, horizon), *weights[g], float(errors[g])]
         return pd.DataFrame([row], columns=[*by, "forecasts", "alpha", "beta", "gamma", "sse"])
 
-    if not has_large_group(rows, by):
+    if not (has_large_group(rows, by) if large is None else large):
 
         def whole(keys, series: pd.DataFrame) -> pd.DataFrame:
             y = series.sort_values(time)["_y"].to_numpy()
@@ -206,7 +207,7 @@ def holt_winters(
         found = grouped.applyInPandas((lambda k, s: whole(k if by else (), s)), schema)
     else:
         found = _long_holt_winters(rows, time, by, period, weights, schema, keyed, best)
-    ready = attach(found, last, by)
+    ready = join_facts(found, last, by)
     out = ready.select(*by, "last_time", "alpha", "beta", "gamma", "sse", F.posexplode("forecasts").alias("_i", "forecast"))
     later = F.expr(f"last_time + (_i + 1) * interval {step}").cast(rows.schema[time].dataType).alias(time)
     return out.select(*by, (F.col("_i") + 1).alias("step"), later, "forecast", "alpha", "beta", "gamma", "sse")
@@ -287,7 +288,7 @@ def _long_holt_winters(rows, time, by, period, weights, schema, keyed, best) ->
 
 def arima(
     df: DataFrame, time: str, value: str, by: Sequence[str] = (), order: tuple[int, int, int] = (1, 1, 1),
-    horizon: int = 30, step: str = "1 day",
+    horizon: int = 30, step: str = "1 day", large: bool | None = None,
 ) -> DataFrame:
     """(by, step, time, forecast) by the two-stage regression of Hannan and Rissanen.
 
@@ -299,27 +300,28 @@ def arima(
         raise ValueError("order needs d of 0 or 1 and p + q > 0")
     by = list(by)
     rows = df.select(*by, time, F.col(value).try_cast("double").alias("_y")).na.drop("any", subset=["_y", time])
+    large = has_large_group(rows, by) if large is None else large
     if d == 1:
-        rows = lagged(rows, by, [time], {"_y1": ("_y", 1)})
+        rows = lagged(rows, by, [time], {"_y1": ("_y", 1)}, large)
         rows = rows.withColumn("_z", F.col("_y") - F.col("_y1")).drop("_y1")
     else:
         rows = rows.withColumn("_z", F.col("_y"))
     reach = p + q + 2
-    rows = pinned(lagged(rows, by, [time], {f"_z{i}": ("_z", i) for i in range(1, reach + 1)}))
+    rows = pinned(lagged(rows, by, [time], {f"_z{i}": ("_z", i) for i in range(1, reach + 1)}, large))
     if q:
         long_lags = [f"_z{i}" for i in range(1, reach + 1)]
         rows = linear.predict(rows, linear.fit(rows, "_z", long_lags, by), long_lags, by, "_fit")
         rows = rows.withColumn("_e", F.col("_z") - F.col("_fit"))
-        rows = pinned(lagged(rows, by, [time], {f"_e{j}": ("_e", j) for j in range(1, q + 1)}))
+        rows = pinned(lagged(rows, by, [time], {f"_e{j}": ("_e", j) for j in range(1, q + 1)}, large))
     xs = [f"_z{i}" for i in range(1, p + 1)] + [f"_e{j}" for j in range(1, q + 1)]
     models = linear.fit(rows, "_z", xs, by)
 
-    ready = attach(last_values(rows, time, "_z", max(p, 1), by, "_zs"), models, by)
+    ready = join_facts(last_values(rows, time, "_z", max(p, 1), by, "_zs"), models, by)
     if q:
-        ready = attach(ready, last_values(rows, time, "_e", q, by, "_es").drop("last_time"), by)
+        ready = join_facts(ready, last_values(rows, time, "_e", q, by, "_es").drop("last_time"), by)
     else:
         ready = ready.withColumn("_es", F.array().cast("array<double>"))
-    ready = attach(ready, rows.groupBy(*by).agg(F.max_by("_y", time).alias("_last")), by)
+    ready = join_facts(ready, rows.groupBy(*by).agg(F.max_by("_y", time).alias("_last")), by)
     ready = ready.filter((F.size("_zs") >= p) & (F.size("_es") >= q))
 
     def extend(known: Column, _: Column) -> Column:
@@ -353,16 +355,17 @@ def holdout_predictions(
     Forecasts meet the held-out rows by their place after the cut, as one step is one row.
     """
     rows = pinned(df.select(*by, time, F.col(value).try_cast("double").alias(value)).na.drop("any", subset=[time, value]))
+    large = has_large_group(rows, by)
     cut = split.time_split(rows, time, by, test_size)
     train = cut.filter("is_train").drop("is_train")
-    test = row_numbers(cut.filter("not is_train"), by, [time], "step").select(
+    test = row_numbers(cut.filter("not is_train"), by, [time], "step", large).select(
         *by, time, F.col("step").cast("int").alias("step"), F.col(value).cast("double").alias("label")
     )
-    by_lags = lag_holdout(rows, time, value, lags, by, test_size, (0.0, 1.0))
+    by_lags = lag_holdout(rows, time, value, lags, by, test_size, (0.0, 1.0), large=large)
     name = F.when(F.col("alpha") == 0, "Linear").otherwise("Ridge")
     tables = [by_lags.select(name.alias("model"), *by, time, "label", "prediction")]
-    direct = {f"HoltWinters_{period}": holt_winters(train, time, value, by, period, test_size, step=step)}
-    direct |= {f"ARIMA_{''.join(map(str, o))}": arima(train, time, value, by, o, test_size, step) for o in orders}
+    direct = {f"HoltWinters_{period}": holt_winters(train, time, value, by, period, test_size, step=step, large=large)}
+    direct |= {f"ARIMA_{''.join(map(str, o))}": arima(train, time, value, by, o, test_size, step, large) for o in orders}
     keys = [*by, "step"]
     for name, ahead in direct.items():
         joined = test.join(ahead.select(*keys, F.col("forecast").alias("prediction")), keys)
@@ -389,4 +392,4 @@ def calendar_quality(df: DataFrame, time: str, value: str, by: Sequence[str] = (
         (F.try_divide(F.col("_days"), F.col("_span")) * 100).alias("completeness_pct"),
     )
     summary = profile.series_summary(df, value, by).drop("count")
-    return attach(attach(shaped, profile.frequency(df, time, by), by, "left"), summary, by, "left")
+    return join_facts(join_facts(shaped, profile.frequency(df, time, by), by, "left"), summary, by, "left")

@@ -85,6 +85,15 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inn
     return joined.drop(*[f"_k_{k}" for k in keys])
 
 
+def join_facts(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two tables that hold one row per group; with one row per key there is no skew to guard."""
+    keys = list(keys)
+    if not keys:
+        return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one", how).drop("_one")
+    renamed = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return left.join(renamed, same_keys(left, renamed, keys, "_k_"), how).drop(*[f"_k_{k}" for k in keys])
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     if not keys:
         return df.count()

@@ -17,11 +17,14 @@ Order = Sequence[str | Column]
 
 
 def running_sums(
-    df: DataFrame, keys: Sequence[str], order: Order, sums: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], order: Order, sums: Mapping[str, Column], large: bool | None = None
 ) -> DataFrame:
-    """Add running totals of `sums` along `order` within `keys`; `order` must be unique per key."""
+    """Add running totals of `sums` along `order` within `keys`; `order` must be unique per key.
+
+    `large` is passed by callers that have counted the groups already.
+    """
     keys = list(keys)
-    if not has_large_group(df, keys):
+    if not (has_large_group(df, keys) if large is None else large):
         running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(e).over(running).alias(n) for n, e in sums.items()])
 
@@ -42,24 +45,26 @@ def running_sums(
     )
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number") -> DataFrame:
+def row_numbers(
+    df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number", large: bool | None = None
+) -> DataFrame:
     """Add the 1-based position along `order` within `keys`."""
-    return running_sums(df, keys, order, {name: F.lit(1).cast("long")})
+    return running_sums(df, keys, order, {name: F.lit(1).cast("long")}, large)
 
 
 def lagged(
-    df: DataFrame, keys: Sequence[str], order: Order, lags: Mapping[str, tuple[str, int]]
+    df: DataFrame, keys: Sequence[str], order: Order, lags: Mapping[str, tuple[str, int]], large: bool | None = None
 ) -> DataFrame:
     """Add columns `name -> (source column, distance)` looking back along `order` within `keys`."""
     keys = list(keys)
-    if not has_large_group(df, keys):
+    if not (has_large_group(df, keys) if large is None else large):
         back = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[F.lag(c, i).over(back).alias(n) for n, (c, i) in lags.items()])
 
     # Cut each group into runs of fixed length and give every run the last rows of the run before.
     reach = max(i for _, i in lags.values())
     length = max(limit_of(df.sparkSession, GROUP_ROWS), reach)
-    numbered = row_numbers(df, keys, order, "_pos")
+    numbered = row_numbers(df, keys, order, "_pos", large=True)
     run = F.floor((F.col("_pos") - 1) / length)
     tail = F.pmod(F.col("_pos") - 1, F.lit(length)) >= length - reach
     copies = F.when(tail, F.array(run, run + 1)).otherwise(F.array(run))
