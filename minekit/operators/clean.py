@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import text
-from ..plans.bounds import require, small_rows
+from ..plans.bounds import complete_rows, require, small_rows
 from ..plans.quantiles import quantiles
 
 
@@ -119,7 +119,7 @@ def time_parts(df: DataFrame, column: str) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=list(columns) if columns else None)
+    return complete_rows(df, list(columns) if columns else df.columns)
 
 
 def drop_duplicates(df: DataFrame, columns: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:

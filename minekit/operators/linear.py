@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.bounds import attach
+from ..plans.bounds import attach, complete_rows
 
 
 def fit(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), alpha: float = 0.0) -> DataFrame:
@@ -18,8 +18,8 @@ def fit(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), alpha:
     """
     xs, width = list(xs), len(xs)
     rows = df.select(*by, F.col(y).cast("double").alias("_y"), *[F.col(x).cast("double").alias(f"_x{i}") for i, x in enumerate(xs)])
-    rows = rows.na.drop("any", subset=["_y", *[f"_x{i}" for i in range(width)]])
     names = [f"_x{i}" for i in range(width)]
+    rows = complete_rows(rows, ["_y", *names])
     pairs = {(i, j): F.covar_pop(names[i], names[j]) for i in range(width) for j in range(i, width)}
     facts = rows.groupBy(*by).agg(
         F.count("*").alias("n"), F.avg("_y").alias("_my"),

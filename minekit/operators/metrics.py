@@ -22,32 +22,60 @@ def _classes(df: DataFrame, label: str, prediction: str) -> list:
     return sorted(r["c"] for r in rows)
 
 
-def confusion_counts(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
-    return df.groupBy(*by, label, prediction).agg(F.count("*").alias("count"))
+def confusion_counts(
+    df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction", weight: str | None = None
+) -> DataFrame:
+    """Rows per (real, predicted) pair.
+
+    The result can be given to the metrics below with `weight="count"`, so that several of them
+    share one pass over the predictions.
+    """
+    total = F.count("*") if weight is None else F.sum(weight)
+    return df.groupBy(*by, label, prediction).agg(total.alias("count"))
+
+
+def shared_counts(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
+    """Confusion counts, held by the driver when they are few."""
+    counts = confusion_counts(df, by, label, prediction)
+    rows = small_rows(counts)
+    return counts if rows is None else df.sparkSession.createDataFrame(rows, counts.schema)
+
+
+def _weight(weight: str | None) -> Column:
+    return F.lit(1) if weight is None else F.col(weight)
+
+
+def _sum_if(condition: Column, weight: str | None) -> Column:
+    return F.sum(F.when(condition, _weight(weight)).otherwise(0))
 
 
 def confusion_matrix(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
     """Every (real, predicted) pair of classes with its count, zero cells included."""
-    classes = F.array(*map(F.lit, _classes(df, label, prediction)))
-    seen = confusion_counts(df, by, label, prediction)
+    seen = shared_counts(df, by, label, prediction)
+    classes = F.array(*map(F.lit, _classes(seen, label, prediction)))
     cells = seen.groupBy(*by).agg(F.sum("count").alias("_n")).withColumn(label, F.explode(classes))
     cells = cells.withColumn(prediction, F.explode(classes)).drop("_n")
     keys = [*by, label, prediction]
     return join_facts(cells, seen, keys, how="left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
 
 
-def accuracy(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
-    row = df.groupBy(*by).agg(F.avg((F.col(label) == F.col(prediction)).cast("int")).alias("Accuracy"))
+def accuracy(
+    df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction", weight: str | None = None
+) -> DataFrame:
+    same = _sum_if(F.col(label) == F.col(prediction), weight)
+    row = df.groupBy(*by).agg(F.try_divide(same, F.sum(_weight(weight))).alias("Accuracy"))
     return row.withColumn("Error", 1 - F.col("Accuracy"))
 
 
-def binary_counts(df: DataFrame, positive, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
+def binary_counts(
+    df: DataFrame, positive, by: Sequence[str] = (), label="label", prediction="prediction", weight: str | None = None
+) -> DataFrame:
     """TP, FP, FN, TN, each also as a percentage, with specificity and error rate."""
     real, said = F.col(label) == positive, F.col(prediction) == positive
     row = df.groupBy(*by).agg(
-        F.count_if(real & said).alias("TP"), F.count_if(~real & said).alias("FP"),
-        F.count_if(real & ~said).alias("FN"), F.count_if(~real & ~said).alias("TN"),
-        F.count("*").alias("n"),
+        _sum_if(real & said, weight).alias("TP"), _sum_if(~real & said, weight).alias("FP"),
+        _sum_if(real & ~said, weight).alias("FN"), _sum_if(~real & ~said, weight).alias("TN"),
+        F.sum(_weight(weight)).alias("n"),
     )
     shares = {f"{c}_pct": F.try_divide(F.col(c) * 100.0, F.col("n")) for c in ("TP", "FP", "FN", "TN")}
     return row.withColumns(shares).withColumns({
@@ -61,11 +89,13 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def classification(
-    df: DataFrame, positive=1, by: Sequence[str] = (), label="label", prediction="prediction", score: str | None = None
+    df: DataFrame, positive=1, by: Sequence[str] = (), label="label", prediction="prediction", score: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Recall, precision, F1 (and ROC-AUC with a score) of the positive class; null beyond two classes."""
-    row = binary_counts(df, positive, by, label, prediction)
-    binary = len(_classes(df, label, prediction)) <= 2
+    counts = shared_counts(df, by, label, prediction) if counts is None else counts
+    row = binary_counts(counts, positive, by, label, prediction, "count")
+    binary = len(_classes(counts, label, prediction)) <= 2
     recall = _ratio(F.col("TP"), F.col("TP") + F.col("FN"))
     precision = _ratio(F.col("TP"), F.col("TP") + F.col("FP"))
     f1 = _ratio(F.col("TP") * 2, F.col("TP") * 2 + F.col("FP") + F.col("FN"))
@@ -79,9 +109,11 @@ def classification(
     return join_facts(out, roc_auc(df, positive, by, label, score), by, how="left").withColumnRenamed("auc", "ROC_AUC_Pos")
 
 
-def macro(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
+def macro(
+    df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction", weight: str | None = None
+) -> DataFrame:
     """Unweighted class means of precision, recall and F1; an undefined ratio counts as 0."""
-    counts = confusion_counts(df, by, label, prediction)
+    counts = confusion_counts(df, by, label, prediction, weight)
     hit = F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)
     sides = counts.select(*by, F.inline(F.array(
         F.struct(F.col(label).alias("_class"), F.col("count").alias("_real"), F.lit(0).cast("long").alias("_said"), hit.cast("long").alias("_hit")),

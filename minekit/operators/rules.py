@@ -8,7 +8,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import list_items
-from ..plans.bounds import cached, pinned, require
+from ..plans.bounds import cached, complete_rows, pinned, require
 
 
 def baskets_from_pairs(df: DataFrame, tx: str, item: str) -> DataFrame:
@@ -34,7 +34,7 @@ def item_lists(df: DataFrame, tx: str, item: str) -> DataFrame:
 
 def baskets_from_columns(df: DataFrame, tx: str, columns: Sequence[str]) -> DataFrame:
     """One basket per complete row: `column=value` items."""
-    rows = df.na.drop("any", subset=list(columns))
+    rows = complete_rows(df, columns)
     items = F.array(*[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in columns])
     return rows.select(tx, F.array_sort(items).alias("items"))
 

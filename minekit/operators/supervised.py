@@ -15,7 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.bounds import join_facts, pinned
+from ..plans.bounds import complete_rows, join_facts, pinned
 from . import balance, encode, metrics, profile, reshape, split
 
 
@@ -36,11 +36,12 @@ class Task:
     scale: bool = True
     classes: DataFrame | None = field(default=None, repr=False)
     _table: DataFrame | None = field(default=None, repr=False)
+    _sizes: tuple[int, int] | None = field(default=None, repr=False)
 
     def table(self) -> DataFrame:
         """(id, label, features...): written once, as every fit reads it."""
         if self._table is None:
-            rows = self.df.na.drop("any", subset=[self.target, *self.features])
+            rows = complete_rows(self.df, [self.target, *self.features])
             if self.kind == "classification":
                 rows, self.classes = encode.encode_labels(rows, self.target, "_label")
             else:
@@ -49,8 +50,16 @@ class Task:
             self._table = pinned(rows.select(one.alias("id"), F.col("_label").alias("label"), *self.features))
         return self._table
 
+    def sizes(self) -> tuple[int, int]:
+        """Rows and classes."""
+        if self._sizes is None:
+            per_label = self.table().groupBy("label").count()
+            row = per_label.agg(F.sum("count").alias("n"), F.count("*").alias("k")).first()
+            self._sizes = (row["n"] or 0, row["k"] if self.kind == "classification" else 0)
+        return self._sizes
+
     def n_classes(self) -> int:
-        return self.table().select("label").distinct().count() if self.kind == "classification" else 0
+        return self.sizes()[1]
 
     def stratify(self) -> str | None:
         return "label" if self.kind == "classification" else None
@@ -134,13 +143,14 @@ def _ready(task: Task, train: DataFrame, test: DataFrame) -> tuple[DataFrame, Da
 def _fit_predict(task: Task, name: str, params: Mapping, train: DataFrame, test: DataFrame) -> DataFrame:
     fitted, shown = _ready(task, train, test)
     model = build_model(
-        name, task.kind, task.table().count(), task.n_classes(), len(task.features), **with_overrides(name, params)
+        name, task.kind, *task.sizes(), len(task.features), **with_overrides(name, params)
     )
     weighted = task.class_weight is not None and model.hasParam("weightCol") and name != "mlp"
     if weighted:
         model = model.copy({model.getParam("weightCol"): "weight"})
     scored = metrics.positive_score(model.fit(fitted).transform(shown))
-    return scored.select("id", "label", "prediction", "score")
+    # Written once, as every metric reads it.
+    return pinned(scored.select("id", "label", "prediction", "score"))
 
 
 def holdout(task: Task, name: str, **params) -> DataFrame:
@@ -164,10 +174,11 @@ def evaluate(task: Task, predictions: DataFrame, by: Sequence[str] = (), extra:
     if task.kind == "regression":
         table = metrics.regression(predictions, by)
     else:
-        table = metrics.accuracy(predictions, by)
+        counts = metrics.shared_counts(predictions, by)
+        table = metrics.accuracy(counts, by, weight="count")
         scored = predictions.schema["score"].dataType.simpleString() == "double" and task.n_classes() <= 2
-        table = join_facts(table, metrics.classification(predictions, task.positive, by, score="score" if scored else None), by)
-        table = join_facts(table, metrics.macro(predictions, by), by)
+        table = join_facts(table, metrics.classification(predictions, task.positive, by, score="score" if scored else None, counts=counts), by)
+        table = join_facts(table, metrics.macro(counts, by, weight="count"), by)
     return join_facts(table, metrics.evaluate(predictions, extra, by), by) if extra else table
 
 
@@ -178,15 +189,15 @@ def _criterion(task: Task, wanted: str | None) -> tuple[str, bool]:
 
 def compare_models(task: Task, models: Mapping[str, tuple[str, Mapping]], k: int = 0, sort_by: str | None = None) -> DataFrame:
     """One row per model: hold-out metrics, and with k > 1 fold means and deviations as CV_*; best first."""
-    held = pinned(reshape.stack([
+    held = reshape.stack([
         holdout(task, name, **params).select(F.lit(label).alias("model_name"), "*") for label, (name, params) in models.items()
-    ]))
+    ])
     table = evaluate(task, held, ["model_name"])
     if k > 1:
-        cv = pinned(reshape.stack([
+        cv = reshape.stack([
             folded(task, name, k, **params).select(F.lit(label).alias("model_name"), "*")
             for label, (name, params) in models.items()
-        ]))
+        ])
         each = evaluate(task, cv, ["model_name", "fold"]).drop("fold")
         names = [c for c in each.columns if c != "model_name"]
         summary = profile.metric_summary(each, ["model_name"], names)
@@ -199,7 +210,7 @@ def compare_models(task: Task, models: Mapping[str, tuple[str, Mapping]], k: int
 
 def model_detail(task: Task, name: str, **params) -> dict[str, DataFrame]:
     """Metrics, confusion matrix and curves (or the actual/predicted table) of one model."""
-    held = pinned(holdout(task, name, **params))
+    held = holdout(task, name, **params)
     if task.kind == "regression":
         pairs, line = metrics.actual_vs_predicted(held)
         return {"metrics": evaluate(task, held), "pairs": pairs, "line": line}
@@ -214,12 +225,12 @@ def model_detail(task: Task, name: str, **params) -> dict[str, DataFrame]:
 
 def seed_stability(task: Task, name: str, seeds: Sequence[int], **params) -> tuple[DataFrame, DataFrame]:
     """Metrics per seed, and their mean, deviation and range."""
-    task.table()  # shared by all seeds
+    task.sizes()  # shared by all seeds
     made = []
     for seed in seeds:
         one = Task(**{**task.__dict__, "seed": seed})
         made.append(holdout(one, name, **{**params, "seed": seed}).select(F.lit(seed).alias("seed"), "*"))
-    each = evaluate(task, pinned(reshape.stack(made)), ["seed"])
+    each = evaluate(task, reshape.stack(made), ["seed"])
     names = [c for c in each.columns if c != "seed"]
     long = reshape.melt(each, ["seed"], names)
     summary = long.groupBy("metric").agg(
@@ -231,12 +242,12 @@ def seed_stability(task: Task, name: str, seeds: Sequence[int], **params) -> tup
 
 def balance_comparison(task: Task, name: str, **params) -> tuple[DataFrame, DataFrame]:
     """Metrics and ROC points with plain and with balanced class weights."""
-    task.table()  # shared by both scenarios
+    task.sizes()  # shared by both scenarios
     made = []
     for label, weight in (("none", None), ("balanced", "balanced")):
         one = Task(**{**task.__dict__, "class_weight": weight})
         made.append(holdout(one, name, **params).select(F.lit(label).alias("scenario"), "*"))
-    held = pinned(reshape.stack(made))
+    held = reshape.stack(made)
     return evaluate(task, held, ["scenario"]), metrics.roc_curve(held, task.positive, ["scenario"])
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.bounds import GROUP_ROWS, attach, has_large_group, join_facts, limit_of, pinned, require
+from ..plans.bounds import GROUP_ROWS, attach, complete_rows, has_large_group, join_facts, limit_of, pinned, require
 from ..plans.ordering import lagged, row_numbers
 from . import clean, linear, metrics, profile, reshape, split
 
@@ -41,7 +41,7 @@ def lag_table(
     kept = df.select(*by, time, *extra, F.col(value).try_cast("double").alias("label"))
     out = lagged(kept, by, [time], {f"{value}_lag_{i}": ("label", i) for i in range(1, lags + 1)}, large)
     names = [f"{value}_lag_{i}" for i in range(1, lags + 1)]
-    return out.select(*by, time, "label", *names, *extra).na.drop("any", subset=["label", *names, *extra])
+    return complete_rows(out.select(*by, time, "label", *names, *extra), ["label", *names, *extra])
 
 
 def lag_names(value: str, lags: int) -> list[str]:
@@ -299,7 +299,7 @@ def arima(
     if d not in (0, 1) or p < 0 or q < 0 or p + q == 0:
         raise ValueError("order needs d of 0 or 1 and p + q > 0")
     by = list(by)
-    rows = df.select(*by, time, F.col(value).try_cast("double").alias("_y")).na.drop("any", subset=["_y", time])
+    rows = complete_rows(df.select(*by, time, F.col(value).try_cast("double").alias("_y")), ["_y", time])
     large = has_large_group(rows, by) if large is None else large
     if d == 1:
         rows = lagged(rows, by, [time], {"_y1": ("_y", 1)}, large)
@@ -354,7 +354,7 @@ def holdout_predictions(
 
     Forecasts meet the held-out rows by their place after the cut, as one step is one row.
     """
-    rows = pinned(df.select(*by, time, F.col(value).try_cast("double").alias(value)).na.drop("any", subset=[time, value]))
+    rows = pinned(complete_rows(df.select(*by, time, F.col(value).try_cast("double").alias(value)), [time, value]))
     large = has_large_group(rows, by)
     cut = split.time_split(rows, time, by, test_size)
     train = cut.filter("is_train").drop("is_train")

@@ -59,8 +59,11 @@ def k_means(
 
 def hierarchical(df: DataFrame, k: int, features: str = "features", seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Divisive hierarchy cut at k leaves."""
-    model = BisectingKMeans(k=k, featuresCol=features, seed=seed).fit(df)
-    labelled = model.transform(df)
+    # MLlib splits a cluster around its centre by a share of the centre's length, so centred data is
+    # moved away from the origin; distances stay the same.
+    moved = df.withColumn("_moved", array_to_vector(F.transform(vector_to_array(features), lambda x: x + 1.0)))
+    model = BisectingKMeans(k=k, featuresCol="_moved", seed=seed).fit(moved)
+    labelled = model.transform(moved).drop("_moved")
     return labelled, _one_row(df, k=k, silhouette=silhouette(labelled, features), inertia=float(model.summary.trainingCost))
 
 

@@ -105,6 +105,20 @@ def has_large_group(df: DataFrame, keys: Sequence[str]) -> bool:
     return largest_group(df, keys) > limit_of(df.sparkSession, GROUP_ROWS)
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows where every column is present (NaN counts as missing).
+
+    One condition per column: a single test over many columns makes the optimizer derive a
+    variant of it for every alias below.
+    """
+    types = dict(df.dtypes)
+    present = [
+        F.col(c).isNotNull() & ~F.isnan(F.col(c)) if types[c] in ("double", "float") else F.col(c).isNotNull()
+        for c in columns
+    ]
+    return df.filter(functools.reduce(operator.and_, present)) if present else df
+
+
 def require(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
