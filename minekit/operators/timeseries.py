@@ -203,8 +203,7 @@ def holt_winters(
             state, errors = _smooth(y[period:], weights, _first_state(y, period, len(weights)), 0)
             return best(keys, state, errors, len(y) % period)
 
-        grouped = rows.groupBy(*by) if by else rows.groupBy(F.lit(0))
-        found = grouped.applyInPandas((lambda k, s: whole(k if by else (), s)), schema)
+        found = rows.groupBy(*by).applyInPandas(whole, schema)
     else:
         found = _long_holt_winters(rows, time, by, period, weights, schema, keyed, best)
     ready = join_facts(found, last, by)
@@ -243,19 +242,13 @@ def _long_holt_winters(rows, time, by, period, weights, schema, keyed, best) ->
 
     def compose(key, parts: pd.DataFrame) -> pd.DataFrame:
         state, out = np.zeros((count, size)), []
-        for part in parts.sort_values("_run").itertuples(index=False):
-            out.append([*key, int(part._asdict().get("_run", getattr(part, "run", 0))), state.ravel().tolist()])
+        for part in parts.sort_values("run").itertuples(index=False):
+            out.append([*key, part.run, state.ravel().tolist()])
             change = np.array(part.change, dtype=float).reshape(count, size, size)
             state = np.array(part.added, dtype=float).reshape(count, size) + np.einsum("gij,gj->gi", change, state)
         return pd.DataFrame(out, columns=[*keys, "start"])
 
-    effects = effects.withColumnRenamed("_run", "run")
-    grouped = effects.groupBy(*by) if by else effects.groupBy(F.lit(0))
-
-    def composed(key, parts):
-        return compose(key if by else (), parts.rename(columns={"run": "_run"}).assign(run=parts["run"]))
-
-    starts = grouped.applyInPandas(composed, f"{keyed_runs}, start array<double>")
+    starts = effects.withColumnRenamed("_run", "run").groupBy(*by).applyInPandas(compose, f"{keyed_runs}, start array<double>")
 
     def errors_of(key, part: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         names = [*keys, "state", "errors", "upto"]

