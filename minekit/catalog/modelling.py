@@ -234,10 +234,10 @@ def document_task(spark, folder, target="quality", **options) -> supervised.Task
     counts = {
         "n_chars": F.col("n_chars"), "n_words": F.size(F.split(text, r"\s+")), "n_lines": F.size(F.split(text, "\n")),
         "n_digits": F.regexp_count(text, F.lit("[0-9]")), "n_capitals": F.regexp_count(text, F.lit("[A-Z]")),
-        "n_marks": F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]")),
+        "n_marks": F.regexp_count(text, F.lit("[.,;:!?]")),
     }
-    docs = table(spark, folder, "documents").select("doc_id", *[c.cast("double").alias(n) for n, c in counts.items()])
-    rows = docs.join(table(spark, folder, "labels"), "doc_id")
+    labelled = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    rows = labelled.select("doc_id", "quality", "toxic", *[c.cast("double").alias(n) for n, c in counts.items()])
     return supervised.Task(rows, ["doc_id"], target, list(counts), **options)
 
 

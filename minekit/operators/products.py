@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import safe_float, safe_int, slugify
+from ..plans.bounds import pinned
 from . import clean, encode, reshape, rules
 from .profile import value_counts
 
@@ -128,6 +129,7 @@ def prepare(
     words = top_words(parsed, full_text(), k)
     flagged = reshape.word_flags(parsed, F.lower(full_text()), words)
     kept = clean.drop_duplicates(flagged, ["title", "price", "description"], order).filter("price is not null")
+    kept = pinned(kept)  # cut points, transactions and the model table all read it
     cut, edges = encode.quantile_segments(kept, "price", probs)
     return cut.withColumn("is_premium", (F.col("price_segment") == "Premium").cast("int")), words, edges
 

@@ -149,29 +149,53 @@ def dataset_summary(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def pearson(a: str, b: str) -> Column:
-    """Correlation over rows where both are present; null when either is constant there."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row with Pearson's r of each pair as r_0, r_1, ...; null where a side is constant.
+
+    A first pass finds means and deviations.  The second sums products of centred values: one sum
+    where neither side has nulls, six over the complete rows otherwise.
+    """
+    names = sorted({c for pair in pairs for c in pair})
+    row = df.agg(
+        F.count("*").alias("n"), *[F.count(c).alias(f"{c}__n") for c in names],
+        *[F.avg(c).alias(f"{c}__m") for c in names], *[F.stddev_pop(c).alias(f"{c}__s") for c in names],
+    ).first()
+
+    def centred(c: str) -> Column:
+        return F.col(c).cast("double") - F.lit(row[f"{c}__m"])
+
+    def r(a: str, b: str) -> Column:
+        if not row[f"{a}__s"] or not row[f"{b}__s"]:
+            return F.max(F.lit(None).cast("double"))
+        x, y = centred(a), centred(b)
+        if row[f"{a}__n"] == row["n"] == row[f"{b}__n"]:
+            return F.avg(x * y) / F.lit(row[f"{a}__s"] * row[f"{b}__s"])
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        n, sx, sy, xx, yy = F.count(x), F.sum(x), F.sum(y), F.sum(x * x), F.sum(y * y)
+        vx, vy = n * xx - sx * sx, n * yy - sy * sy
+        constant = (vx <= n * xx * 1e-12) | (vy <= n * yy * 1e-12)
+        return F.when(~constant, F.try_divide(n * F.sum(x * y) - sx * sy, F.sqrt(vx) * F.sqrt(vy)))
+
+    return df.agg(*[r(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
 
 
 def correlations(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """(column_a, column_b, r) for every ordered pair, from one aggregate over the distinct pairs."""
+    """(column_a, column_b, r) for every ordered pair; each unordered pair is computed once."""
     names = list(columns) or numeric_names(df)
-    aggs = [pearson(a, b).alias(f"r_{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    at = {pair: i for i, pair in enumerate(pairs)}
     entries = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r_{min(i, j)}_{max(i, j)}").alias("r"))
-        for i, a in enumerate(names) for j, b in enumerate(names)
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r_{at.get((a, b), at.get((b, a)))}").alias("r"))
+        for a in names for b in names
     ]
-    return _long(df.agg(*aggs), entries)
+    return _long(_pair_correlations(df, pairs), entries)
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] = ()) -> DataFrame:
     require(df, target)
     names = [c for c in (columns or numeric_names(df)) if c != target]
-    row = df.agg(*[pearson(c, target).alias(c) for c in names])
-    table = _long(row, [F.struct(F.lit(c).alias("column"), F.col(c).alias("r")) for c in names])
+    row = _pair_correlations(df, [(c, target) for c in names])
+    table = _long(row, [F.struct(F.lit(c).alias("column"), F.col(f"r_{i}").alias("r")) for i, c in enumerate(names)])
     return table.orderBy(F.desc_nulls_last("r"), "column")
 
 

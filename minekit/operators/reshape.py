@@ -43,15 +43,13 @@ def compare_metrics(holdout: DataFrame, cv: DataFrame) -> DataFrame:
     return left.join(cv.select("metric", F.col("value").alias("cv")), "metric", "full")
 
 
-def has_word(text: Column, word: str) -> Column:
-    """Whether `word` (ASCII letters) stands in the text as a whole word."""
-    edge = r"[^\p{L}\p{N}_]"
-    return text.rlike(f"(^|{edge}){word}({edge}|$)")
-
-
 def word_flags(df: DataFrame, text: Column, words: Sequence[str], prefix: str = "kw_") -> DataFrame:
-    """A 0/1 column per word; one pass, whatever the number of rows."""
-    return df.withColumns({f"{prefix}{w}": has_word(text, w).cast("int") for w in words})
+    """A 0/1 column per word that stands in the text as a whole word.
+
+    The text is cut into words once, whatever the number of words looked for.
+    """
+    tokens = df.withColumn("_tokens", F.array_distinct(F.split(text, r"[^\p{L}\p{N}_]+")))
+    return tokens.withColumns({f"{prefix}{w}": F.array_contains("_tokens", w).cast("int") for w in words}).drop("_tokens")
 
 
 def upsert_rows(base: DataFrame, new: DataFrame, key: str, sort_by: str | None = None) -> DataFrame:

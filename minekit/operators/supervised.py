@@ -39,15 +39,19 @@ class Task:
     _sizes: tuple[int, int] | None = field(default=None, repr=False)
 
     def table(self) -> DataFrame:
-        """(id, label, features...): written once, as every fit reads it."""
+        """(id, label, features...) over rows written once, as every fit reads them.
+
+        Writing comes before filtering: a filter on computed features would compute them twice.
+        """
         if self._table is None:
-            rows = complete_rows(self.df, [self.target, *self.features])
+            made = pinned(self.df.select(*dict.fromkeys([*self.ids, self.target, *self.features])))
+            rows = complete_rows(made, [self.target, *self.features])
             if self.kind == "classification":
                 rows, self.classes = encode.encode_labels(rows, self.target, "_label")
             else:
                 rows = rows.withColumn("_label", F.col(self.target).try_cast("double")).filter("_label is not null")
             one = F.concat_ws("-", *[F.col(c).cast("string") for c in self.ids])
-            self._table = pinned(rows.select(one.alias("id"), F.col("_label").alias("label"), *self.features))
+            self._table = rows.select(one.alias("id"), F.col("_label").alias("label"), *self.features)
         return self._table
 
     def sizes(self) -> tuple[int, int]:
