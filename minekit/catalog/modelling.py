@@ -32,20 +32,11 @@ def stratified_split(spark, folder):
     return split.train_test(table(spark, folder, "labels").select("doc_id", "toxic"), ["doc_id"], stratify="toxic")
 
 
-@query(f"SELECT o_orderkey, o_orderstatus, CAST(floor((rk - 1) * 10 / n) AS INTEGER) AS naive, CAST(CASE " + " ".join(
-    f"WHEN rk <= ceil(n * {j} / 10) THEN {j - 1}" for j in range(1, 10)) + f" ELSE 9 END AS INTEGER) AS fold FROM {_ranked('orders', 'o_orderstatus', 'o_orderkey', 7)}")
+@query("SELECT o_orderkey, o_orderstatus, CAST(CASE " + " ".join(f"WHEN rk <= ceil(n * {j} / 10) THEN {j - 1}" for j in range(1, 10))
+       + f" ELSE 9 END AS INTEGER) AS fold FROM {_ranked('orders', 'o_orderstatus', 'o_orderkey', 7)}")
 def stratified_folds(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    made = split.folds(rows, ["o_orderkey"], 10, 7, "o_orderstatus")
-    # The same cut written from the position in the class, to show how even the folds are.
-    from ..plans.bounds import attach
-    from ..plans.hashing import shuffle_key
-    from ..plans.ordering import row_numbers
-
-    sizes = made.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
-    placed = attach(row_numbers(made.withColumn("_k", shuffle_key(["o_orderkey"], 7)), ["o_orderstatus"], ["_k"], "rk"), sizes, ["o_orderstatus"])
-    naive = F.floor((F.col("rk") - 1) * 10 / F.col("n")).cast("int").alias("naive")
-    return placed.select("o_orderkey", "o_orderstatus", naive, "fold")
+    return split.folds(rows, ["o_orderkey"], 10, 7, "o_orderstatus")
 
 
 @query(f"SELECT o_orderkey, CAST(CASE " + " ".join(f"WHEN rk <= ceil(n * {j} / 5) THEN {j - 1}" for j in range(1, 5))
