@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.bounds import attach, has_large_group, join_facts, require
+from ..plans.bounds import attach, join_facts, require
 from ..plans.ordering import lagged
 from ..plans.quantiles import quantiles
 from .clean import numeric_names
@@ -20,26 +20,18 @@ def _long(row: DataFrame, entries: Sequence[Column]) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """count, mean, std (n-1), min, quartiles and max of each numeric column."""
     names = list(columns) or numeric_names(df)
-    plain = {
-        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-    }
-    aggs = [f(c).alias(f"{c}__{s}") for c in names for s, f in plain.items()]
-    if has_large_group(df, []):
-        stats = _long(df.agg(*aggs), [_stat_entry(c, plain) for c in names])
-        cut = quantiles(df, names, [0.25, 0.5, 0.75])
-        cut = _long(cut, [F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in names])
-        return join_facts(stats, cut, ["column"]).select(
-            "column", "count", "mean", "std", "min", *_quartiles(F.col("q")), "max"
-        )
-    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    row = df.agg(*aggs, *[F.percentile(F.col(c).cast("double"), at).alias(f"{c}__q") for c in names])
-    entries = [_stat_entry(c, plain, F.col(f"{c}__q").alias("q")) for c in names]
-    return _long(row, entries).select("column", "count", "mean", "std", "min", *_quartiles(F.col("q")), "max")
-
-
-def _stat_entry(c: str, plain: Mapping, *more: Column) -> Column:
-    typed = [F.col(f"{c}__{s}").cast("long" if s == "count" else "double").alias(s) for s in plain]
-    return F.struct(F.lit(c).alias("column"), *typed, *more)
+    plain = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    # Moments stay apart from quantiles: one aggregate with both would leave generated code.
+    row = df.agg(*[f(c).alias(f"{c}__{s}") for c in names for s, f in plain.items()])
+    typed = {s: "long" if s == "count" else "double" for s in plain}
+    stats = _long(row, [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{s}").cast(t).alias(s) for s, t in typed.items()]) for c in names
+    ])
+    cut = quantiles(df, names, [0.25, 0.5, 0.75])
+    cut = _long(cut, [F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in names])
+    return join_facts(stats, cut, ["column"]).select(
+        "column", "count", "mean", "std", "min", *_quartiles(F.col("q")), "max"
+    )
 
 
 def _quartiles(q: Column) -> list[Column]:
