@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import simhash
+from pyspark.sql import functions as F
+
+from . import lines, simhash, toxicity
+from .common import LOWER, UPPER, crc_mod
 from ..catalog.registry import table
 
 QUERIES, ORACLES = {}, {}
@@ -18,6 +21,39 @@ def query(sql: str | None = None):
     return add
 
 
+_LINES_SQL = f"""
+WITH line AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
+         unnest(string_split(coalesce(text, ''), chr(10))) AS line
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+  FROM line
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT doc_id, pos, line, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM keyed LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query(_LINES_SQL)
+def op3_line_dedup(spark, folder):
+    return lines.line_dedup(table(spark, folder, "documents"))
+
+
+@query()
+def op4_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
+    found = toxicity.scores(docs, model)
+    return found.select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query()
 def op6_simhash_near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
