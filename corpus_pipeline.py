@@ -4,20 +4,53 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from minekit.llm import simhash
+from minekit.llm import decontaminate, lines, packing, simhash, toxicity
+from minekit.llm.common import crc_mod
 from minekit.plans.bounds import shared_dir
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored toxic (0.5 or more) go. The model learns from labelled documents outside the held-out fifth."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
+    return toxicity.without_toxic(docs, model)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of at least 40 code points found in at least 5 documents stay in one of them; `n_chars` follows the text."""
+    kept = lines.without_repeated_lines(docs)
+    length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.withColumn("n_chars", length)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id."""
+    """One document of each near-duplicate group stays: the one with the smallest id. Texts without words,
+    which line dedup may leave, are near-duplicates of each other. Shingles and distance are the operator's."""
     return simhash.without_near_duplicates(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words a twentieth or more lie in windows of a benchmark item go."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", toxic),
+    ("line_dedup", repeated_lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", contaminated),
+    ("packing", packed),
+]
 
-#: Fingerprints use XXH64, which SQL does not have; tests/llm holds the stages against brute-force versions.
+#: SQL has neither the classifier nor XXH64 nor the tokenizer; tests/llm holds the stages against brute-force versions.
 ORACLE_SQL = None
 
 

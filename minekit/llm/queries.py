@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import lines, simhash, toxicity
+from . import decontaminate, lines, packing, simhash, toxicity
 from .common import LOWER, UPPER, crc_mod
 from ..catalog.registry import table
 
@@ -21,6 +22,37 @@ def query(sql: str | None = None):
     return add
 
 
+_WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+@query(f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS_SQL} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS size, words[i:i + least(len(words), 13) - 1] AS words
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 13, 0) + 2)) AS i FROM item WHERE len(words) > 0)
+), doc AS (SELECT doc_id, {_WORDS_SQL} AS words FROM documents),
+place AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM doc),
+hit AS (
+  SELECT doc_id, i, size, item_id
+  FROM (SELECT doc_id, i, size, words[i:i + size - 1] AS words FROM place, (SELECT DISTINCT size FROM windows)
+        WHERE i + size - 1 <= len(words)) JOIN windows USING (size, words)
+), counted AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op2_decontamination(spark, folder):
+    found = decontaminate.decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("spans")
+
+
 _LINES_SQL = f"""
 WITH line AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
@@ -54,6 +86,11 @@ def op4_toxicity(spark, folder):
         "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query()
+def op5_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query()
 def op6_simhash_near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
