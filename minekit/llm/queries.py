@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, packing, simhash, toxicity
+from . import decontaminate, langid, lines, packing, simhash, tokens, toxicity
 from .common import LOWER, UPPER, crc_mod
 from ..catalog.registry import table
 
@@ -22,6 +22,14 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 _WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
 
@@ -94,3 +102,8 @@ def op5_packing(spark, folder):
 @query()
 def op6_simhash_near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op9_token_counts(spark, folder):
+    return tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
