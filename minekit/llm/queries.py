@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, lines, packing, simhash, tokens, toxicity
+from . import decontaminate, langid, lines, orderhash, packing, simhash, tokens, toxicity, urls
 from .common import LOWER, UPPER, crc_mod
 from ..catalog.registry import table
 
@@ -107,3 +107,37 @@ def op6_simhash_near_duplicates(spark, folder):
 @query()
 def op9_token_counts(spark, folder):
     return tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+_SPAM_SQL = " OR ".join(f"regexp_matches(host || path, '{r.pattern}')" for r in urls.SPAM)
+
+
+@query(f"""
+WITH part AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), rule AS (
+  SELECT *, split_part(name, '/', 1) AS rule_host, substr(name, strpos(name, '/')) AS rule_path
+  FROM (VALUES {", ".join(map(str, _URL_RULES))}) AS v(name, verdict)
+), fit AS (
+  SELECT page_id, arg_max(name, length(name)) AS name, arg_max(verdict, length(name)) AS verdict
+  FROM part JOIN rule ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, name AS rule,
+       coalesce(verdict, CASE WHEN {_SPAM_SQL} THEN 'block' ELSE 'allow' END) AS verdict
+FROM part LEFT JOIN fit USING (page_id)
+""")
+def op7_url_filter(spark, folder):
+    rules = [urls.host_path_rule(rule, verdict) for rule, verdict in _URL_RULES]
+    found = urls.judge(table(spark, folder, "pages"), [*rules, *urls.SPAM])
+    # The spam patterns are the filter's own: their verdict counts, `rule` names host and path rules.
+    return found.withColumn("rule", F.when(~F.col("rule").startswith("spam:"), F.col("rule")))
+
+
+@query()
+def op8_order_minhash(spark, folder):
+    return orderhash.edit_likeness(table(spark, folder, "documents"))
