@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, lines, orderhash, packing, simhash, tokens, toxicity, urls
+from . import decontaminate, langid, lines, orderhash, packing, simhash, tokens, toxicity, urls, warc
 from .common import LOWER, UPPER, crc_mod
 from ..catalog.registry import table
 
@@ -141,3 +141,16 @@ def op7_url_filter(spark, folder):
 @query()
 def op8_order_minhash(spark, folder):
     return orderhash.edit_likeness(table(spark, folder, "documents"))
+
+
+@query()
+def op10_warc_derivatives(spark, folder):
+    found = warc.derivatives(warc.responses(table(spark, folder, "pages")))
+    header = F.col("headers")
+    return found.select(
+        F.col("key").alias("page_id"), "warc_type", "record_id", "refers_to",
+        header["WARC-Target-URI"].alias("target_uri"), header["WARC-Date"].alias("date"),
+        header["WARC-Source-Payload-Digest"].alias("payload_digest"), header["WARC-Block-Digest"].alias("block_digest"),
+        header["Content-Type"].alias("content_type"),
+        header["Content-Length"].cast("long").alias("content_length"),
+        warc.text_of(F.col("block")).alias("block"), F.sha2("record", 256).alias("record_sha256"))
