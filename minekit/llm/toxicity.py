@@ -34,7 +34,7 @@ LONGEST = 32  # letters of a word the kernel sees at once; longer words are cut
 #: Defaults of `fit`: rows it learns from at most (half of them with either label), and landmarks.
 ROWS, LANDMARKS = 4000, 300
 #: Log likelihood ratio from which a word counts as typical of toxic documents.
-EVIDENCE = 9.0
+EVIDENCE = 7.0
 #: Signs that often stand for letters.
 _STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 _MARKS = ".,;:!?\"'()[]{}<>«»„“”…"
