@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,12 +17,7 @@ R = clean.round_numbers
 
 def scratch(spark) -> str:
     """A new folder under the shared one; executors write and read it."""
-    base = shared_dir(spark)
-    if "://" in base and not base.startswith("file://"):
-        import uuid
-
-        return f"{base.rstrip('/')}/minekit-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="minekit-", dir=base.removeprefix("file://")) + "/out"
+    return f"{shared_dir(spark).rstrip('/')}/minekit-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -538,14 +533,17 @@ def top_target_correlations(spark, folder):
 
 @query("""WITH m AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 8 AS w FROM orders),
  b AS (SELECT CAST(least(floor((o_totalprice - lo) / w), 7) AS INTEGER) AS bin, lo, w FROM orders, m)
- SELECT bin, round(lo + bin * w, 4) AS bin_start, round(lo + bin * w + w, 4) AS bin_end, count(*) AS "count" FROM b GROUP BY ALL""")
+ SELECT CAST(i AS INTEGER) AS bin, round(lo + i * w, 4) AS bin_start, round(lo + i * w + w, 4) AS bin_end, (SELECT count(*) FROM b WHERE bin = i) AS "count"
+ FROM m, range(8) AS t(i)""")
 def histogram(spark, folder):
     return R(profile.histogram(table(spark, folder, "orders"), "o_totalprice", 8))
 
 
 @query("""WITH m AS (SELECT min(value) AS lo, (max(value) - min(value)) / 10 AS w FROM events),
  b AS (SELECT event_type, CAST(least(floor((value - lo) / w), 9) AS INTEGER) AS bin, lo, w FROM events, m)
- SELECT event_type, bin, round(lo + bin * w, 4) AS bin_start, round(lo + bin * w + w, 4) AS bin_end, count(*) AS "count" FROM b GROUP BY ALL""")
+ SELECT e.event_type, CAST(i AS INTEGER) AS bin, round(m.lo + i * m.w, 4) AS bin_start, round(m.lo + i * m.w + m.w, 4) AS bin_end,
+ (SELECT count(*) FROM b WHERE b.event_type = e.event_type AND b.bin = i) AS "count"
+ FROM m, (SELECT DISTINCT event_type FROM events) AS e, range(10) AS t(i)""")
 def histogram_by_colour(spark, folder):
     return R(profile.histogram(table(spark, folder, "events"), "value", 10, ["event_type"]))
 

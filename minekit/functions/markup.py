@@ -10,6 +10,9 @@ HIDDEN = ("script", "style", "template")
 _STEP = re.compile(r"([a-zA-Z][\w-]*|\*)|\.([\w-]+)|#([\w-]+)|\[([\w-]+)(?:=[\"']?([^\"'\]]*)[\"']?)?\]")
 
 
+_SPACE = re.compile(r"\s+(?![^\[]*\])")
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "parts")
 
@@ -38,10 +41,19 @@ class Node:
         return joiner.join(p for p in parts if p)
 
     def select(self, selector: str) -> list[Node]:
-        steps = [_STEP.findall(s) for s in selector.split()]
+        steps = selector_steps(selector)
         return [n for n in self.walk() if _fits(n, steps[-1]) and _inside(n, steps[:-1])]
 
 
+def selector_steps(selector: str) -> list[list[tuple[str, ...]]]:
+    """The descendant steps of a selector; anything else than tag, class, id and attribute tests is an error."""
+    parts = _SPACE.split(selector.strip())
+    for part in parts:
+        if not part or _STEP.sub("", part):
+            raise ValueError(f"selector not supported: {selector!r}")
+    return [_STEP.findall(part) for part in parts]
+
+
 def _fits(node: Node, step) -> bool:
     for tag, cls, name, attr, value in step:
         if tag and tag != "*" and node.tag != tag.lower():

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..plans.bounds import attach, require, small_rows
@@ -45,17 +45,24 @@ def one_hot(df: DataFrame, columns: Sequence[str] | None = None, drop_first: boo
 
 
 def one_hot_vector(df: DataFrame, columns: Sequence[str], drop_first: bool = True) -> DataFrame:
-    """The same coding as one sparse vector column per text column, for many categories."""
+    """The same coding as one sparse vector column `column_vector` per text column, for many categories."""
+    names = list(columns)
+    full = [f"{c}_all" if drop_first else f"{c}_vector" for c in names]
+    # Nulls get an index behind all categories, and that last slot is the one the encoder drops.
     index = StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_index" for c in columns],
-        stringOrderType="alphabetDesc", handleInvalid="keep",
-    )
-    code = OneHotEncoder(
-        inputCols=index.getOutputCols(), outputCols=[f"{c}_vector" for c in columns], dropLast=True, handleInvalid="keep"
-    ) if not drop_first else OneHotEncoder(
-        inputCols=index.getOutputCols(), outputCols=[f"{c}_vector" for c in columns], dropLast=True
-    )
-    return Pipeline(stages=[index, code]).fit(df).transform(df).drop(*index.getOutputCols())
+        inputCols=names, outputCols=[f"{c}_index" for c in names], stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(df)
+    code = OneHotEncoder(inputCols=index.getOutputCols(), outputCols=full, dropLast=True)
+    coded = index.transform(df)
+    out = code.fit(coded).transform(coded).drop(*index.getOutputCols())
+    if not drop_first:
+        return out
+    for c, labels in zip(names, index.labelsArray):
+        if len(labels) > 1:
+            out = VectorSlicer(inputCol=f"{c}_all", outputCol=f"{c}_vector", indices=list(range(1, len(labels)))).transform(out)
+        else:
+            out = out.withColumn(f"{c}_vector", array_to_vector(F.array().cast("array<double>")))
+    return out.drop(*full)
 
 
 def dedup_and_encode(df: DataFrame, dummies: bool = True, drop_first: bool = True) -> DataFrame:
@@ -109,12 +116,17 @@ def encode_labels(df: DataFrame, column: str, out: str = "label") -> tuple[DataF
 
 def positive_label(df: DataFrame, label: str, wanted=None):
     """The wanted class if it occurs, else the larger of two classes, else None."""
-    classes = [r[0] for r in small_rows(df.select(label).na.drop().distinct(), 1000) or []]
+    values = df.select(label).na.drop()
     if wanted is not None:
-        same = [c for c in classes if c == wanted or str(c) == str(wanted)]
-        if same:
-            return same[0]
-    return max(classes) if len(classes) == 2 else None
+        c = F.col(label)
+        same = c.cast("string") == str(wanted)
+        if isinstance(wanted, (int, float)):
+            same = same | (c.try_cast("double") == float(wanted))
+        found = values.filter(same).limit(1).collect()
+        if found:
+            return found[0][0]
+    classes = small_rows(values.distinct(), 2)
+    return max(r[0] for r in classes) if classes is not None and len(classes) == 2 else None
 
 
 def cut_at(c: Column, edges: Sequence[float], labels: Sequence[str], missing: str | None = None) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.markup import parse, pick
+from ..functions.markup import parse, pick, selector_steps
 from ..functions.text import absolute_url
 
 
@@ -33,10 +35,30 @@ def element_text(pages: DataFrame, tag: str, limit: int | None = None) -> DataFr
     return out if limit is None else out.filter(F.col("pos") < limit)
 
 
-def links(pages: DataFrame, href_contains: str = "") -> DataFrame:
-    """(page_id, pos, href, absolute) of every link, in page order."""
-    pattern = "(?is)<a\\s(?:[^>]*?\\s)?href=\"([^\"]*)\""
-    found = F.regexp_extract_all(visible(F.col("html")), F.lit(pattern), F.lit(1))
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute in an opening tag, quoted or bare; null without that attribute or a value."""
+    before = r"""^<[a-zA-Z][^\s/>]*(?:\s+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?|\s*/)*?"""
+    pattern = f"(?is){before}\\s+{re.escape(name)}\\s*=\\s*{_VALUE}"
+    groups = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
+    return F.when(tag.rlike(pattern), F.concat(*groups))
+
+
+def links(
+    pages: DataFrame, href_contains: str = "", tag: str = "a", attrs: Mapping[str, str] | None = None, attribute: str = "href"
+) -> DataFrame:
+    """(page_id, pos, href, absolute) of every link, in page order.
+
+    Links are the `attribute` values of `tag` elements whose attributes equal `attrs`, however they are quoted.
+    """
+    pattern = f"(?is)<{re.escape(tag)}(?=[\\s/>])" + r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
+    opened = F.regexp_extract_all(visible(F.col("html")), F.lit(pattern), F.lit(0))
+    wanted = functools.reduce(
+        lambda ok, pair: lambda t: ok(t) & F.coalesce(_attribute(t, pair[0]) == pair[1], F.lit(False)),
+        (attrs or {}).items(), lambda t: _attribute(t, attribute).isNotNull())
+    found = F.transform(F.filter(opened, wanted), lambda t: _attribute(t, attribute))
     rows = pages.select("page_id", "url", F.posexplode(found).alias("pos", "href"))
     rows = rows.withColumn("href", F.replace(F.col("href"), F.lit("&amp;"), F.lit("&")))
     if href_contains:
@@ -60,6 +82,7 @@ def _scan(pages: DataFrame, schema: str, per_page, *carried: str) -> DataFrame:
 
 def selected_text(pages: DataFrame, selector: str, limit: int | None = None, strip: bool = True) -> DataFrame:
     """(page_id, pos, text) of the elements a selector matches, in page order."""
+    selector_steps(selector)
 
     def per_page(html):
         for pos, node in enumerate(parse(html).select(selector)[:limit]):
@@ -97,6 +120,8 @@ def records(pages: DataFrame, item_selector: str, fields: Mapping[str, Mapping])
         if not spec.get("selector"):
             raise ValueError(f"field '{name}' needs a selector")
     specs = [dict(s) for s in fields.values()]
+    for selector in (item_selector, *(s["selector"] for s in specs)):
+        selector_steps(selector)
 
     def per_page(html):
         for pos, block in enumerate(parse(html).select(item_selector)):
@@ -121,11 +146,10 @@ def regex_groups(
 
 
 def _group_count(pattern: str) -> int:
-    import re
-
     return re.compile(pattern).groups
 
 
+# The fields of a product block.
 CATALOGUE_FIELDS = {
     "title": {"selector": ".title"},
     "detail_href": {"selector": ".title", "attr": "href"},

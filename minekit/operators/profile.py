@@ -197,7 +197,7 @@ def top_target_correlations(df: DataFrame, target: str, n: int, columns: Sequenc
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (), per_group: bool = False) -> DataFrame:
-    """Counts in equal-width bins; the last bin includes the maximum; empty bins are not listed.
+    """Counts in equal-width bins, empty ones included; the last bin includes the maximum.
 
     Bins span all rows, or each group of `by` when `per_group` is set.
     """
@@ -214,9 +214,13 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (), per
     width = F.when(flat, 1.0).otherwise(F.col("_hi") - F.col("_lo")) / bins
     index = F.least(F.floor((F.col(column) - low) / width), F.lit(bins - 1)).cast("int")
     shaped = rows.select(*by, index.alias("bin"), low.alias("_low"), width.alias("_width"))
-    counted = shaped.groupBy(*by, "bin", "_low", "_width").agg(F.count("*").alias("count"))
+    counted = shaped.groupBy(*by, "bin", "_low", "_width").agg(F.count("*").alias("_n"))
+    # At most one entry per bin meets here, whatever the number of rows.
+    groups = counted.groupBy(*by, "_low", "_width").agg(F.map_from_entries(F.collect_list(F.struct("bin", "_n"))).alias("_found"))
+    listed = groups.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     start = F.col("_low") + F.col("bin") * F.col("_width")
-    return counted.select(*by, "bin", start.alias("bin_start"), (start + F.col("_width")).alias("bin_end"), "count")
+    count = F.coalesce(F.try_element_at("_found", F.col("bin")), F.lit(0).cast("long"))
+    return listed.select(*by, "bin", start.alias("bin_start"), (start + F.col("_width")).alias("bin_end"), count.alias("count"))
 
 
 def boxplot(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
@@ -275,18 +279,20 @@ def _micros(c: Column) -> Column:
 
 
 def frequency(df: DataFrame, time: str, by: Sequence[str] = ()) -> DataFrame:
-    """The most common gap of each series (lowest on ties) and its name."""
-    counted = gaps(df, time, by).filter("gap_seconds is not null").groupBy(*by, "gap_seconds").agg(
-        F.count("*").alias("n")
-    )
+    """The most common gap of each series (lowest on ties) and its name; a series of one row has no gap."""
+    counted = gaps(df, time, by).groupBy(*by, "gap_seconds").agg(F.count("*").alias("n"))
+    known = F.col("gap_seconds").isNotNull()
     common = counted.groupBy(*by).agg(
-        F.max_by("gap_seconds", F.struct("n", -F.col("gap_seconds"))).alias("gap_seconds")
+        F.max_by("gap_seconds", F.when(known, F.struct("n", -F.col("gap_seconds")))).alias("gap_seconds")
     )
     gap, day = F.col("gap_seconds"), 86_400
+    rest = F.pmod(gap, F.lit(day))
+    clock = F.concat_ws(":", *[F.lpad(F.floor(x).cast("string"), 2, "0") for x in (rest / 3600, rest % 3600 / 60, rest % 60)])
+    # The names of the gaps.
     label = (
-        F.when(gap <= 3600, "Horaria").when(gap <= day, "Diaria").when(gap <= 7 * day, "Semanal")
-        .when(gap <= 31 * day, "Mensual")
-        .otherwise(F.concat(F.round(gap / day).cast("long").cast("string"), F.lit(" days")))
+        F.when(gap.isNull(), "No determinada").when(gap <= 3600, "Horaria").when(gap <= day, "Diaria")
+        .when(gap <= 7 * day, "Semanal").when(gap <= 31 * day, "Mensual")
+        .otherwise(F.concat(F.floor(gap / day).cast("string"), F.lit(" days "), clock))
     )
     return common.withColumn("frequency", label)
 

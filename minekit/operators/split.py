@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..plans.bounds import attach
 from ..plans.hashing import slice_by_rank
 from ..plans.ordering import row_numbers
 
-_TOP_ROWS = 1_000  # Spark keeps at most this many rows per group ahead of a window's shuffle
-
-
 def train_test(
     df: DataFrame, ids: Sequence[str], train_size: float = 0.75, seed: int = 42, stratify: str | None = None
 ) -> DataFrame:
@@ -28,29 +25,41 @@ def folds(df: DataFrame, ids: Sequence[str], k: int = 10, seed: int = 42, strati
     return slice_by_rank(df, ids, seed, by, lambda n: [F.ceil(n * j / k) for j in range(1, k)], "fold")
 
 
-def time_positions(df: DataFrame, time: str, by: Sequence[str] = ()) -> DataFrame:
+def _tie_order(df: DataFrame, time: str, by: Sequence[str], ties: Sequence[str] | None) -> list[str]:
+    """Time, then what tells rows of one time apart: the given columns, or all others that can be sorted."""
+    if ties is not None:
+        return [time, *ties]
+    flat = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return [time, *(c for c in flat if c != time and c not in by)]
+
+
+def time_positions(df: DataFrame, time: str, by: Sequence[str] = (), ties: Sequence[str] | None = None) -> DataFrame:
     """Add the 1-based position along time and the length of the series."""
     sizes = df.groupBy(*by).agg(F.count("*").alias("_size"))
-    return attach(row_numbers(df, by, [time], "_pos"), sizes, by)
+    return attach(row_numbers(df, by, _tie_order(df, time, by, ties), "_pos"), sizes, by)
 
 
 def time_split(
-    df: DataFrame, time: str, by: Sequence[str] = (), test_size: int | None = None, train_size: float = 0.75
+    df: DataFrame, time: str, by: Sequence[str] = (), test_size: int | None = None, train_size: float = 0.75,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add `is_train`; the last rows of each series (a quarter unless a count is given) are the test."""
-    shortest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.min("n").alias("n")).first()["n"] or 0
-    if shortest < 2 or (test_size is not None and not 0 < test_size < shortest):
-        raise ValueError("every series needs at least two rows and a test size below its length")
-    if test_size is not None and test_size <= _TOP_ROWS:
-        # A short tail is found by keeping the latest rows of each task; nothing is sorted as a whole.
-        latest = Window.partitionBy(*by).orderBy(F.desc(time))
-        tail = df.select(*by, time).withColumn("_r", F.row_number().over(latest)).filter(F.col("_r") <= test_size)
-        cut = tail.groupBy(*by).agg(F.min(time).alias("_cut"))
-        return attach(df, cut, by).withColumn("is_train", F.col(time) < F.col("_cut")).drop("_cut")
+    """Add `is_train`; the last rows of each series (a quarter unless a count is given) are the test.
+
+    Rows of equal time are ordered by `ties` (by default by their other columns), so a count is met exactly.
+    A series with fewer than two rows, or no more rows than the test takes, cannot be split: its rows get a
+    null. Where there is one series only that is an error.
+    """
+    if test_size is not None and test_size < 1:
+        raise ValueError("the test needs at least one row")
     # Halves round to even, the rule behind the sizes users know.
     held = F.lit(test_size) if test_size else F.greatest(F.lit(1), F.bround(F.col("_size") * (1 - train_size)))
-    placed = time_positions(df, time, by)
-    return placed.withColumn("is_train", F.col("_pos") <= F.col("_size") - held).drop("_pos", "_size")
+    if not by:
+        n = df.count()
+        if n < 2 or (test_size is not None and test_size >= n):
+            raise ValueError("the series needs at least two rows and a test size below its length")
+    placed = time_positions(df, time, by, ties)
+    fits = (F.col("_size") >= 2) & (held < F.col("_size"))
+    return placed.withColumn("is_train", F.when(fits, F.col("_pos") <= F.col("_size") - held)).drop("_pos", "_size")
 
 
 def series_split(df: DataFrame, time: str, value: str, by: Sequence[str] = (), **sizes) -> DataFrame:

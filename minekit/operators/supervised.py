@@ -69,11 +69,19 @@ class Task:
         return "label" if self.kind == "classification" else None
 
 
+def tree_depth(wanted: int | None) -> int:
+    """No limit (null or negative) means the deepest that MLlib allows; a deeper limit is an error."""
+    if wanted is None or wanted < 0:
+        return 30
+    if wanted > 30:
+        raise ValueError(f"max_depth {wanted}: trees have at most 30 levels here; give -1 for no limit")
+    return wanted
+
+
 def build_model(name: str, kind: str, n_rows: int, n_classes: int, n_features: int, **p) -> Estimator:
     """An untrained MLlib estimator; parameter names follow common usage and unset ones keep fixed defaults."""
     seed = p.get("seed", 42)
-    depth = p.get("max_depth", 10)
-    depth = 30 if depth is None or depth < 0 else min(depth, 30)  # no limit means the deepest MLlib allows
+    depth = tree_depth(p.get("max_depth", 5 if name == "gbt" else 10))
     if kind == "regression":
         if name in ("linear", "ridge"):
             alpha = p.get("alpha", 1.0) if name == "ridge" else 0.0
@@ -83,7 +91,7 @@ def build_model(name: str, kind: str, n_rows: int, n_classes: int, n_features: i
                 numTrees=p.get("n_estimators", 100), maxDepth=depth, minInstancesPerNode=p.get("min_samples_leaf", 1), seed=seed
             )
         if name == "gbt":
-            return GBTRegressor(maxIter=p.get("n_estimators", 50), maxDepth=p.get("max_depth", 5), stepSize=p.get("learning_rate", 0.1), seed=seed)
+            return GBTRegressor(maxIter=p.get("n_estimators", 50), maxDepth=depth, stepSize=p.get("learning_rate", 0.1), seed=seed)
         raise ValueError(f"unknown regression model: {name}")
     many = n_classes > 2
     if name == "logistic":
@@ -97,7 +105,7 @@ def build_model(name: str, kind: str, n_rows: int, n_classes: int, n_features: i
             featureSubsetStrategy=str(p.get("max_features", "sqrt")), seed=seed,
         )
     if name == "gbt":
-        one = GBTClassifier(maxIter=p.get("n_estimators", 50), maxDepth=p.get("max_depth", 5), stepSize=p.get("learning_rate", 0.1), seed=seed)
+        one = GBTClassifier(maxIter=p.get("n_estimators", 50), maxDepth=depth, stepSize=p.get("learning_rate", 0.1), seed=seed)
         return OneVsRest(classifier=one) if many else one
     if name == "svm":
         one = LinearSVC(regParam=1.0 / (p.get("C", 1.0) * n_rows), maxIter=p.get("max_iter", 100))
@@ -144,14 +152,19 @@ def _ready(task: Task, train: DataFrame, test: DataFrame) -> tuple[DataFrame, Da
     )
 
 
+def weighted(task: Task, name: str, model: Estimator) -> Estimator:
+    """The model with the weight column set where the task asks for weights and the model takes them."""
+    if task.class_weight is None or not model.hasParam("weightCol") or name == "mlp":
+        return model
+    return model.copy({model.getParam("weightCol"): "weight"})
+
+
 def _fit_predict(task: Task, name: str, params: Mapping, train: DataFrame, test: DataFrame) -> DataFrame:
     fitted, shown = _ready(task, train, test)
     model = build_model(
         name, task.kind, *task.sizes(), len(task.features), **with_overrides(name, params)
     )
-    weighted = task.class_weight is not None and model.hasParam("weightCol") and name != "mlp"
-    if weighted:
-        model = model.copy({model.getParam("weightCol"): "weight"})
+    model = weighted(task, name, model)
     scored = metrics.positive_score(model.fit(fitted).transform(shown))
     # Written once, as every metric reads it.
     return pinned(scored.select("id", "label", "prediction", "score"))
@@ -255,6 +268,22 @@ def balance_comparison(task: Task, name: str, **params) -> tuple[DataFrame, Data
     return evaluate(task, held, ["scenario"]), metrics.roc_curve(held, task.positive, ["scenario"])
 
 
+#: Common names of parameters and the ones MLlib has for them.
+GRID_NAMES = {
+    "n_estimators": {"random_forest": "numTrees", "gbt": "maxIter"}, "max_depth": "maxDepth", "learning_rate": "stepSize",
+    "min_samples_leaf": "minInstancesPerNode", "max_features": "featureSubsetStrategy", "max_iter": "maxIter",
+    "l1_ratio": "elasticNetParam", "C": "regParam", "alpha": "regParam",
+}
+
+
+def grid_values(name: str, param: str, values: Sequence, n_rows: int) -> tuple[str, list]:
+    """The MLlib name of a grid parameter and its values on MLlib's scale; MLlib's own names pass as they are."""
+    known = GRID_NAMES.get(param, param)
+    known = known.get(name, param) if isinstance(known, dict) else known
+    scale = {"max_depth": tree_depth, "C": lambda v: 1.0 / (v * n_rows), "alpha": lambda v: v / n_rows, "max_features": str}
+    return known, [scale.get(param, lambda v: v)(v) for v in values]
+
+
 def grid_search(task: Task, name: str, grid: Mapping[str, Sequence], k: int = 5, parallelism: int = 4, **params):
     """Every combination of MLlib parameters by k folds on the train side; the best is refitted.
 
@@ -265,9 +294,13 @@ def grid_search(task: Task, name: str, grid: Mapping[str, Sequence], k: int = 5,
     train = pinned(split.folds(train, ["id"], k, task.seed, task.stratify()))
     classes = task.n_classes()
     model = build_model(name, task.kind, train.count(), classes, len(task.features), **with_overrides(name, params))
+    model = weighted(task, name, model)
+    # One-vs-rest has its parameters on the classifier inside.
+    inner = model.getClassifier() if isinstance(model, OneVsRest) else model
     builder = ParamGridBuilder()
     for p, values in grid.items():
-        builder = builder.addGrid(model.getParam(p), list(values))
+        param, given = grid_values(name, p, values, train.count())
+        builder = builder.addGrid(inner.getParam(param), given)
     maps = builder.build()
     if task.kind == "regression":
         judge = RegressionEvaluator(metricName="mse")
