@@ -14,7 +14,8 @@ R = clean.round_numbers
 
 
 def _ranked(source: str, by: str, ids: str, seed: int) -> str:
-    text = " || '-' || ".join(f"CAST({c} AS VARCHAR)" for c in ids.split(", "))
+    texts = [f"CAST({c} AS VARCHAR)" for c in ids.split(", ")]
+    text = texts[0] if len(texts) == 1 else " || ".join(f"CAST(length({t}) AS VARCHAR) || ':' || {t}" for t in texts)
     part = f"PARTITION BY {by} " if by else ""
     return f"""(SELECT *, row_number() OVER ({part}ORDER BY md5({text} || '-{seed}') || '-' || {text}) AS rk,
  count(*) OVER ({part.strip()}) AS n FROM {source})"""

@@ -22,19 +22,16 @@ def class_counts(df: DataFrame, label: str) -> dict:
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Add n / (classes * class size)."""
-    counts = class_counts(df, label)
-    n, k = sum(counts.values()), len(counts)
-    facts = df.sparkSession.createDataFrame(
-        [(c, n / (k * m)) for c, m in counts.items()], [label, out]
-    ).withColumn(label, F.col(label).cast(df.schema[label].dataType))
+    sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_m"))
+    total = sizes.agg(F.sum("_m").alias("n"), F.count("*").alias("k")).first()
+    facts = sizes.select(label, (F.lit(float(total["n"] or 0)) / (F.lit(total["k"]) * F.col("_m"))).alias(out))
     return attach(df, facts, [label])
 
 
 def scale_pos_weight(df: DataFrame, label: str, positive=1) -> float:
     """Negatives per positive, at least 1; 1 without positives."""
-    counts = class_counts(df, label)
-    pos = counts.get(positive, 0)
-    return max((sum(counts.values()) - pos) / pos, 1.0) if pos else 1.0
+    row = df.filter(F.col(label).isNotNull()).agg(F.count("*").alias("n"), F.count_if(F.col(label) == positive).alias("pos")).first()
+    return max((row["n"] - row["pos"]) / row["pos"], 1.0) if row["pos"] else 1.0
 
 
 def positive_weights(df: DataFrame, label: str, positive=1, out: str = "weight") -> DataFrame:

@@ -11,15 +11,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.bounds import attach, join_facts, small_rows
 from ..plans.ordering import running_sums
 
-MAX_CLASSES = 1_000
 
-
-def _classes(df: DataFrame, label: str, prediction: str) -> list:
+def _classes(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """The distinct classes on either side, as column `_class`."""
     both = F.explode(F.array(F.col(label), F.col(prediction)))
-    rows = small_rows(df.select(both.alias("c")).filter("c is not null").distinct(), MAX_CLASSES)
-    if rows is None:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(r["c"] for r in rows)
+    return df.select(both.alias("_class")).filter("_class is not null").distinct()
 
 
 def confusion_counts(
@@ -52,9 +48,9 @@ def _sum_if(condition: Column, weight: str | None) -> Column:
 def confusion_matrix(df: DataFrame, by: Sequence[str] = (), label="label", prediction="prediction") -> DataFrame:
     """Every (real, predicted) pair of classes with its count, zero cells included."""
     seen = shared_counts(df, by, label, prediction)
-    classes = F.array(*map(F.lit, _classes(seen, label, prediction)))
-    cells = seen.groupBy(*by).agg(F.sum("count").alias("_n")).withColumn(label, F.explode(classes))
-    cells = cells.withColumn(prediction, F.explode(classes)).drop("_n")
+    listed = _classes(seen, label, prediction).agg(F.collect_list("_class").alias("_all"))  # one row
+    groups = seen.groupBy(*by).agg(F.sum("count").alias("_n")).crossJoin(F.broadcast(listed))
+    cells = groups.withColumn(label, F.explode("_all")).withColumn(prediction, F.explode("_all")).drop("_n", "_all")
     keys = [*by, label, prediction]
     return join_facts(cells, seen, keys, how="left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
 
@@ -95,7 +91,7 @@ def classification(
     """Recall, precision, F1 (and ROC-AUC with a score) of the positive class; null beyond two classes."""
     counts = shared_counts(df, by, label, prediction) if counts is None else counts
     row = binary_counts(counts, positive, by, label, prediction, "count")
-    binary = len(_classes(counts, label, prediction)) <= 2
+    binary = small_rows(_classes(counts, label, prediction), 2) is not None
     recall = _ratio(F.col("TP"), F.col("TP") + F.col("FN"))
     precision = _ratio(F.col("TP"), F.col("TP") + F.col("FP"))
     f1 = _ratio(F.col("TP") * 2, F.col("TP") * 2 + F.col("FP") + F.col("FN"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -96,29 +97,67 @@ def rule_metrics(a: Column, c: Column, ac: Column) -> dict[str, Column]:
     }
 
 
-def association_rules(itemsets: DataFrame, metric: str = "confidence", min_threshold: float = 0.5) -> DataFrame:
-    """Every split of every frequent itemset into two non-empty sides that reaches the threshold.
+#: Sides of itemsets up to this size are listed by bit masks; for larger ones confident sides are grown.
+MASK_ITEMS = 12
+_LOW_BITS = 16  # masks are listed in runs of this many bits, as one array must not hold them all
 
-    Bit masks pick the antecedent; both sides are frequent themselves, so two equi-joins on the
-    sorted item array find their supports.
-    """
-    parts = itemsets.filter("n_items >= 2").select(
+
+def _masked_sides(itemsets: DataFrame) -> DataFrame:
+    """Every split of every itemset into (antecedents, consequents), with the support `_ac` of the whole."""
+    runs = itemsets.select(
         "items", F.col("support").alias("_ac"), "n_items",
-        F.explode(F.expr("sequence(1L, shiftleft(1L, n_items) - 2)")).alias("_mask"),
+        F.explode(F.expr(f"sequence(0L, shiftleft(1L, greatest(n_items - {_LOW_BITS}, 0)) - 1)")).alias("_high"),
     )
-    sides = parts.select(
+    masks = runs.select(
+        "items", "_ac", "n_items", "_high", F.explode(F.expr(f"sequence(0L, shiftleft(1L, least(n_items, {_LOW_BITS})) - 1)")).alias("_low"),
+    ).withColumn("_mask", F.expr(f"shiftleft(_high, {_LOW_BITS}) + _low"))
+    return masks.filter("_mask > 0 and _mask < shiftleft(1L, n_items) - 1").select(
         F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 1)").alias("antecedents"),
         F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 0)").alias("consequents"), "_ac",
     )
+
+
+def _grown_sides(itemsets: DataFrame, supports: DataFrame, min_confidence: float) -> DataFrame:
+    """The same for sides that reach a confidence, with `antecedent_support`. A longer consequent is never more
+    confident than a part of it, so consequents grow item by item from those that still reach it."""
+
+    def reaching(sides: DataFrame) -> DataFrame:
+        split = sides.withColumn("antecedents", F.array_except("items", "consequents"))
+        return pinned(split.join(supports, "antecedents").filter(F.col("_ac") / F.col("antecedent_support") >= min_confidence))
+
+    start = itemsets.select("items", F.col("support").alias("_ac"), F.explode("items").alias("_item"))
+    level = reaching(start.select("items", "_ac", F.array("_item").alias("consequents")))
+    levels = [level]
+    while not level.isEmpty():
+        stem = F.slice("consequents", 1, F.size("consequents") - 1)
+        left = level.select("items", "_ac", stem.alias("_stem"), F.element_at("consequents", -1).alias("_a"))
+        right = left.select("items", "_stem", F.col("_a").alias("_b"))
+        wider = left.join(right, ["items", "_stem"]).filter("_a < _b and size(_stem) + 2 < size(items)")
+        level = reaching(wider.select("items", "_ac", F.concat("_stem", F.array("_a", "_b")).alias("consequents")))
+        levels.append(level)
+    return functools.reduce(DataFrame.unionByName, levels).select("antecedents", "consequents", "_ac", "antecedent_support")
+
+
+def association_rules(itemsets: DataFrame, metric: str = "confidence", min_threshold: float = 0.5) -> DataFrame:
+    """Every split of every frequent itemset into two non-empty sides that reaches the threshold.
+
+    Both sides are frequent themselves, so two equi-joins on the sorted item array find their supports.
+    """
     left = itemsets.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
     right = itemsets.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
     measures = rule_metrics(F.col("antecedent_support"), F.col("consequent_support"), F.col("_ac"))
     if metric not in measures:
         raise ValueError(f"unknown metric: {metric}")
-    # A confidence bound needs the antecedent only, so weak splits never reach the second join.
-    found = sides.join(left, "antecedents")
+    many = itemsets.filter("n_items >= 2")
     if metric == "confidence":
-        found = found.filter(F.col("_ac") / F.col("antecedent_support") >= min_threshold)
+        # A confidence bound needs the antecedent only, so weak splits never reach the second join.
+        found = _masked_sides(many.filter(F.col("n_items") <= MASK_ITEMS)).join(left, "antecedents").filter(
+            F.col("_ac") / F.col("antecedent_support") >= min_threshold)
+        long = many.filter(F.col("n_items") > MASK_ITEMS)
+        if not long.isEmpty():
+            found = found.unionByName(_grown_sides(long, left, min_threshold))
+    else:
+        found = _masked_sides(many).join(left, "antecedents")
     rules = found.join(right, "consequents").select(
         "antecedents", "consequents", "antecedent_support", "consequent_support",
         *[e.alias(n) for n, e in measures.items()],

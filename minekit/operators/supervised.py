@@ -16,6 +16,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans.bounds import complete_rows, join_facts, pinned
+from ..plans.hashing import row_text
 from . import balance, encode, metrics, profile, reshape, split
 
 
@@ -50,8 +51,7 @@ class Task:
                 rows, self.classes = encode.encode_labels(rows, self.target, "_label")
             else:
                 rows = rows.withColumn("_label", F.col(self.target).try_cast("double")).filter("_label is not null")
-            one = F.concat_ws("-", *[F.col(c).cast("string") for c in self.ids])
-            self._table = rows.select(one.alias("id"), F.col("_label").alias("label"), *self.features)
+            self._table = rows.select(row_text(self.ids).alias("id"), F.col("_label").alias("label"), *self.features)
         return self._table
 
     def sizes(self) -> tuple[int, int]:

@@ -10,10 +10,19 @@ from .bounds import attach, has_large_group
 from .ordering import row_numbers
 
 
+def row_text(ids: Sequence[str]) -> Column:
+    """Text that is as unique as the values of `ids`: one column as it stands, several with their lengths."""
+    texts = [F.col(c).cast("string") for c in ids]
+    if len(texts) == 1:
+        return F.coalesce(texts[0], F.lit(""))
+    sized = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
+    return F.concat(*sized) if sized else F.lit("")
+
+
 def shuffle_key(ids: Sequence[str], seed: int) -> Column:
     """A sort key that looks random, is the same in every run, and is unique when `ids` is."""
-    digest = F.md5(F.concat_ws("-", *ids, F.lit(seed).cast("string")))
-    return F.concat_ws("-", digest, *ids)
+    text = row_text(ids)
+    return F.concat_ws("-", F.md5(F.concat_ws("-", text, F.lit(seed).cast("string"))), text)
 
 
 def uniform_long(text: Column) -> Column:
@@ -37,14 +46,14 @@ def slice_by_rank(
     """Number the slices that rank bounds cut out of each group's pseudo-random order.
 
     `bounds` turns the group size into increasing ranks r1 < r2 < ...; rows ranked up to r1 get
-    slice 0, up to r2 slice 1, and so on.  Large groups are not sorted: counting digest prefixes
+    slice 0, up to r2 slice 1, and so on; rows that share their ids stay together.  Large groups are not sorted: counting digest prefixes
     finds the few rows next to each bound, and every row is then compared with the bound keys.
     """
     by = list(by)
     keyed = df.withColumn("_key", shuffle_key(ids, seed))
     sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
     if not has_large_group(df, by):
-        ranked = row_numbers(keyed, by, ["_key"], "_rank")
+        ranked = keyed.withColumn("_rank", F.rank().over(Window.partitionBy(*by).orderBy("_key")))
         ranked = attach(ranked, sizes, by)
         passed = [F.when(F.col("_rank") > b, 1).otherwise(0) for b in bounds(F.col("_n"))]
         return ranked.select(*df.columns, sum(passed, F.lit(0)).cast("int").alias(name))

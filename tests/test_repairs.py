@@ -100,3 +100,61 @@ def test_grid_search_heeds_weights_and_common_names(spark):
         table[weight] = rows(scores.select(F.round("score", 4)))
     assert table[None] != table["balanced"]
 
+
+
+def test_slices_of_repeated_and_composite_ids_do_not_depend_on_size(spark):
+    from minekit.plans.bounds import GROUP_ROWS
+
+    df = spark.createDataFrame([(f"{i % 20}-{i % 3}", str(i % 7)) for i in range(120)] + [("1-2", "3"), ("1", "2-3"), (None, "x")], "a string, b string")
+    got = []
+    for bound in (1_000_000, 40):
+        spark.conf.set(GROUP_ROWS, str(bound))
+        got.append(sorted(map(str, split.folds(df, ["a", "b"], 4).groupBy("a", "b", "fold").count().collect())))
+    spark.conf.unset(GROUP_ROWS)
+    assert got[0] == got[1]
+    assert len(got[0]) == df.distinct().count()  # rows of one identity stay together
+
+
+def test_confusion_matrix_of_many_classes(spark):
+    from minekit.operators import metrics
+
+    df = spark.range(40).select(F.col("id").alias("label"), F.pmod(F.col("id") + 1, F.lit(40)).alias("prediction"))
+    assert metrics.confusion_matrix(df).count() == 1600
+    wide = spark.range(1200).select(F.col("id").alias("label"), F.col("id").alias("prediction"))
+    row = metrics.classification(wide).first()
+    assert row.F1_Pos is None
+
+
+def test_weights_with_many_label_values(spark):
+    from minekit.operators import balance
+
+    df = spark.range(12_000).select(F.col("id").alias("y"))
+    assert balance.balanced_weights(df, "y").agg(F.min("weight"), F.max("weight")).first() == (1.0, 1.0)
+    assert balance.scale_pos_weight(df, "y", 5) == 11_999.0
+
+
+def test_rules_of_long_itemsets(spark):
+    from minekit.operators import rules
+
+    names = [f"i{n:02d}" for n in range(33)]
+    sets = [(names, 50)] + [([x for x in names if x != y], 50 if y < "i02" else 200) for y in names] + [([n], 60) for n in names]
+    sets += [(names[2:], 50)]
+    table = spark.createDataFrame([(s, f, f / 1000, len(s)) for s, f in sets], "items array<string>, freq long, support double, n_items int")
+    found = rules.association_rules(table, "confidence", 0.9)
+    assert sorted((len(r.antecedents), tuple(r.consequents)) for r in found.select("antecedents", "consequents").collect()) == [
+        (31, ("i00",)), (31, ("i01",)), (32, ("i00",)), (32, ("i01",))]
+
+
+def test_rules_grow_to_the_same_ones_that_masks_list(spark, monkeypatch):
+    import random
+
+    from minekit.operators import rules
+
+    draw = random.Random(4)
+    baskets = spark.createDataFrame([(i, sorted(draw.sample("abcdef", draw.randint(2, 6)))) for i in range(60)], "tx int, items array<string>")
+    sets = rules.frequent_itemsets(baskets, 0.05)
+    got = []
+    for most in (rules.MASK_ITEMS, 2):
+        monkeypatch.setattr(rules, "MASK_ITEMS", most)
+        got.append(sorted(map(str, rules.association_rules(sets, "confidence", 0.6).collect())))
+    assert got[0] == got[1] and len(got[0]) > 50
