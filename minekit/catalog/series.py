@@ -154,6 +154,12 @@ def forecast_comparison(spark, folder):
     return R(timeseries.compare(made, ["series"]))
 
 
+@query()
+def forecast_backtest(spark, folder):
+    """Every forecaster over expanding folds, ranked by the mean RMSE of the folds."""
+    return R(timeseries.ranking(daily(spark, folder), "day", "total", ["event_type"], 2, 3, lags=3, period=3, orders=((1, 1, 0),)))
+
+
 @query()
 def holdout_table(spark, folder):
     """Held-out days with the forecast of each model."""

@@ -50,5 +50,6 @@ def linear_value(xs: Sequence[Column]) -> Column:
 
 
 def predict(df: DataFrame, models: DataFrame, xs: Sequence[str], by: Sequence[str] = (), out: str = "prediction") -> DataFrame:
-    carried = attach(df, models.select(*by, "coefficients", "intercept"), by)
+    """Add the prediction; rows of a group without a model get a null."""
+    carried = attach(df, models.select(*by, "coefficients", "intercept"), by, "left")
     return carried.withColumn(out, linear_value([F.col(x) for x in xs])).drop("coefficients", "intercept")

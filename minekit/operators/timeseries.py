@@ -91,6 +91,11 @@ def last_values(df: DataFrame, time: str, value: str, n: int, by: Sequence[str]
     )
 
 
+def _or_nulls(values: Column, horizon: int) -> Column:
+    """Forecasts, or as many nulls where there are none."""
+    return F.coalesce(values, F.array_repeat(F.lit(None).cast("double"), horizon))
+
+
 def _steps(rows: DataFrame, by: Sequence[str], values: Column, time: str, step: str) -> DataFrame:
     exploded = rows.select(*by, "last_time", F.posexplode(values).alias("_i", "forecast"))
     later = F.expr(f"last_time + (_i + 1) * interval {step}").cast(rows.schema["last_time"].dataType)
@@ -107,17 +112,21 @@ def recursive_forecast(
     df: DataFrame, models: DataFrame, time: str, value: str, lags: int, horizon: int, by: Sequence[str] = (),
     step: str = "1 day",
 ) -> DataFrame:
-    """(by, step, time, forecast): each value predicted feeds the lags of the next."""
+    """(by, step, time, forecast): each value predicted feeds the lags of the next.
+
+    A series with fewer values than lags, or without a model, gets null forecasts.
+    """
     if not isinstance(horizon, int) or horizon <= 0:
         raise ValueError("horizon must be a positive integer")
-    ready = join_facts(last_values(df, time, value, lags, by), models, by).filter(F.size("history") >= lags)
+    ready = join_facts(last_values(df, time, value, lags, by), models, by, "left")
 
     def extend(known: Column, _: Column) -> Column:
         nxt = linear.linear_value([F.element_at(known, -i) for i in range(1, lags + 1)])
         return F.concat(known, F.array(nxt))
 
     grown = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("history"), extend)
-    return _steps(ready, by, F.slice(grown, F.lit(lags + 1), F.lit(horizon)), time, step)
+    values = F.when(F.size("history") >= lags, F.slice(grown, F.lit(lags + 1), F.lit(horizon)))
+    return _steps(ready, by, _or_nulls(values, horizon), time, step)
 
 
 def lag_forecast(
@@ -180,12 +189,12 @@ def holt_winters(
 ) -> DataFrame:
     """(by, step, time, forecast, alpha, beta, gamma, sse) with the weights of least squared error.
 
-    Series shorter than two seasons are left out, because they give no first state.
+    Series shorter than two seasons give no first state: their forecasts and weights are null.
     """
     weights = np.array(grid, dtype=float)
     by = list(by)
     rows = df.select(*by, time, F.col(value).try_cast("double").alias("_y")).filter(F.col("_y").isNotNull() & F.col(time).isNotNull())
-    last = rows.groupBy(*by).agg(F.max(time).alias("last_time"), F.count("*").alias("_n")).filter(F.col("_n") >= 2 * period)
+    last = rows.groupBy(*by).agg(F.max(time).alias("last_time"), F.count("*").alias("_n"))
     keyed = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in by]
     schema = ", ".join([*keyed, "forecasts array<double>", "alpha double", "beta double", "gamma double", "sse double"])
 
@@ -206,8 +215,8 @@ def holt_winters(
         found = rows.groupBy(*by).applyInPandas(whole, schema)
     else:
         found = _long_holt_winters(rows, time, by, period, weights, schema, keyed, best)
-    ready = join_facts(found, last, by)
-    out = ready.select(*by, "last_time", "alpha", "beta", "gamma", "sse", F.posexplode("forecasts").alias("_i", "forecast"))
+    ready = join_facts(last, found, by, "left")
+    out = ready.select(*by, "last_time", "alpha", "beta", "gamma", "sse", F.posexplode(_or_nulls(F.col("forecasts"), horizon)).alias("_i", "forecast"))
     later = F.expr(f"last_time + (_i + 1) * interval {step}").cast(rows.schema[time].dataType).alias(time)
     return out.select(*by, (F.col("_i") + 1).alias("step"), later, "forecast", "alpha", "beta", "gamma", "sse")
 
@@ -286,7 +295,8 @@ def arima(
     """(by, step, time, forecast) by the two-stage regression of Hannan and Rissanen.
 
     A long autoregression gives the shocks; the series is then regressed on its own lags and on
-    lagged shocks.  Both stages are grouped aggregates, and d may be 0 or 1.
+    lagged shocks.  Both stages are grouped aggregates, and d may be 0 or 1.  Series too short for
+    that get null forecasts.
     """
     p, d, q = order
     if d not in (0, 1) or p < 0 or q < 0 or p + q == 0:
@@ -309,13 +319,14 @@ def arima(
     xs = [f"_z{i}" for i in range(1, p + 1)] + [f"_e{j}" for j in range(1, q + 1)]
     models = linear.fit(rows, "_z", xs, by)
 
-    ready = join_facts(last_values(rows, time, "_z", max(p, 1), by, "_zs"), models, by)
+    ready = rows.groupBy(*by).agg(F.max_by("_y", time).alias("_last"), F.max(time).alias("last_time"))
+    ready = join_facts(ready, last_values(rows, time, "_z", max(p, 1), by, "_zs").drop("last_time"), by, "left")
+    ready = join_facts(ready, models, by, "left")
     if q:
-        ready = join_facts(ready, last_values(rows, time, "_e", q, by, "_es").drop("last_time"), by)
+        ready = join_facts(ready, last_values(rows, time, "_e", q, by, "_es").drop("last_time"), by, "left")
     else:
         ready = ready.withColumn("_es", F.array().cast("array<double>"))
-    ready = join_facts(ready, rows.groupBy(*by).agg(F.max_by("_y", time).alias("_last")), by)
-    ready = ready.filter((F.size("_zs") >= p) & (F.size("_es") >= q))
+    enough = (F.size("_zs") >= p) & (F.size("_es") >= q)
 
     def extend(known: Column, _: Column) -> Column:
         terms = [F.element_at(known["z"], -i) for i in range(1, p + 1)]
@@ -333,7 +344,7 @@ def arima(
             changes, F.array(F.col("_last")), lambda done, z: F.concat(done, F.array(F.element_at(done, -1) + z))
         )
         changes = F.slice(sums, F.lit(2), F.lit(horizon))
-    return _steps(ready, by, changes, time, step)
+    return _steps(ready, by, _or_nulls(F.when(enough, changes), horizon), time, step)
 
 
 # ---------------------------------------------------------------- comparison and summaries
@@ -356,16 +367,49 @@ def holdout_predictions(
     )
     by_lags = lag_holdout(rows, time, value, lags, by, test_size, (0.0, 1.0), large=large)
     name = F.when(F.col("alpha") == 0, "Linear").otherwise("Ridge")
-    tables = [by_lags.select(name.alias("model"), *by, time, "label", "prediction")]
+    by_lags = by_lags.select(name.alias("model"), *by, time, "prediction")
+    # Every model answers for every held-out row, with a null where the series is too short for it.
+    named = test.select(F.explode(F.array(F.lit("Linear"), F.lit("Ridge"))).alias("model"), *by, time, "label")
+    tables = [named.join(by_lags, ["model", *by, time], "left").select("model", *by, time, "label", "prediction")]
     direct = {f"HoltWinters_{period}": holt_winters(train, time, value, by, period, test_size, step=step, large=large)}
     direct |= {f"ARIMA_{''.join(map(str, o))}": arima(train, time, value, by, o, test_size, step, large) for o in orders}
     keys = [*by, "step"]
     for name, ahead in direct.items():
-        joined = test.join(ahead.select(*keys, F.col("forecast").alias("prediction")), keys)
+        joined = test.join(ahead.select(*keys, F.col("forecast").alias("prediction")), keys, "left")
         tables.append(joined.select(F.lit(name).alias("model"), *by, time, "label", "prediction"))
     return reshape.stack(tables)
 
 
+def backtest_predictions(
+    df: DataFrame, time: str, value: str, by: Sequence[str] = (), k: int = 3, test_size: int = 7, **models
+) -> DataFrame:
+    """(model, by, fold, time, label, prediction) of every model on the last k blocks of each series.
+
+    Each fold is a series of its own that ends with its test block, so all folds are fitted together.
+    """
+    rows = complete_rows(df.select(*by, time, F.col(value).try_cast("double").alias(value)), [time, value])
+    folded = split.expanding_folds(rows, time, by, k, test_size).drop("role")
+    return holdout_predictions(folded, time, value, [*by, "fold"], test_size, **models)
+
+
+def ranking(
+    df: DataFrame, time: str, value: str, by: Sequence[str] = (), k: int = 3, test_size: int = 7, **models
+) -> DataFrame:
+    """Hold-out metrics per model and series, means and deviations over k folds as `CV_*`, the `rank` by mean
+    RMSE of the folds (hold-out RMSE where a series has no folds) and the `best_model`."""
+    held = metrics.regression(holdout_predictions(df, time, value, by, test_size, **models), ["model", *by])
+    keys = ["model", *by]
+    each = metrics.regression(backtest_predictions(df, time, value, by, k, test_size, **models), [*keys, "fold"]).drop("fold")
+    names = [c for c in each.columns if c not in keys]
+    cv = profile.metric_summary(each, keys, names)
+    table = join_facts(held, cv.withColumnsRenamed({c: f"CV_{c}" for c in cv.columns if c not in keys}), keys, "left")
+    table = table.withColumn("_score", F.coalesce("CV_RMSE", "RMSE"))
+    order = Window.partitionBy(*by).orderBy(F.asc_nulls_last("_score"), "model")  # one row per model
+    ranked = table.withColumn("rank", F.row_number().over(order)).drop("_score")
+    best = ranked.groupBy(*by).agg(F.min_by("model", "rank").alias("best_model"))
+    return attach(ranked, best, by)
+
+
 def compare(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Metrics per model and series, with the model of least RMSE in `best_model`."""
     table = metrics.regression(predictions, ["model", *by])

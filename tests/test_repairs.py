@@ -158,3 +158,47 @@ def test_rules_grow_to_the_same_ones_that_masks_list(spark, monkeypatch):
         monkeypatch.setattr(rules, "MASK_ITEMS", most)
         got.append(sorted(map(str, rules.association_rules(sets, "confidence", 0.6).collect())))
     assert got[0] == got[1] and len(got[0]) > 50
+
+
+def _series(spark):
+    import math
+
+    wave = [(k, d, 10 + d * 0.3 + 4 * math.sin(d * (1.3 if k == "a" else 0.7)) + d % 5) for k in "ab" for d in range(40)]
+    rows_ = [(k, d, v) for k, d, v in wave] + [("short", d, 1.0 + d) for d in range(5)] + [("one", 0, 3.0)]
+    return spark.createDataFrame(rows_, "k string, d int, v double").withColumn("d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
+
+
+def test_short_series_get_null_forecasts(spark):
+    from minekit.operators import timeseries
+
+    df = _series(spark)
+    for out in (timeseries.holt_winters(df, "d", "v", ["k"], 7, 4), timeseries.arima(df, "d", "v", ["k"], (1, 1, 1), 4),
+                timeseries.lag_forecast(df, "d", "v", 7, 4, ["k"])):
+        found = out.groupBy("k").agg(F.count("*").alias("n"), F.count("forecast").alias("known")).collect()
+        assert {r.k: r.n for r in found} == {"a": 4, "b": 4, "short": 4, "one": 4}
+        assert {r.k for r in found if r.known == 4} >= {"a", "b"} and {r.k: r.known for r in found}["one"] == 0
+
+
+def test_backtests_equal_one_fit_per_fold(spark):
+    from minekit.operators import timeseries
+
+    df = _series(spark)
+    got = timeseries.backtest_predictions(df, "d", "v", ["k"], 2, 5, lags=3, period=4, orders=((1, 1, 0),)).collect()
+    assert {r.fold for r in got if r.k in "ab"} == {0, 1}
+    for fold, cut in ((0, 30), (1, 35)):
+        train = df.filter(f"k = 'a' and d < date_add(date'2024-01-01', {cut})")
+        for model, ahead in (("HoltWinters_4", timeseries.holt_winters(train, "d", "v", ["k"], 4, 5)),
+                             ("ARIMA_110", timeseries.arima(train, "d", "v", ["k"], (1, 1, 0), 5))):
+            want = [round(r.forecast, 6) for r in ahead.orderBy("step").collect()]
+            mine = sorted((r.d, round(r.prediction, 6)) for r in got if (r.k, r.fold, r.model) == ("a", fold, model))
+            assert [p for _, p in mine] == want
+
+
+def test_ranking_is_by_the_folds(spark):
+    from minekit.operators import timeseries
+
+    table = timeseries.ranking(_series(spark), "d", "v", ["k"], 2, 5, lags=3, period=4, orders=((1, 1, 0),)).collect()
+    for k in "ab":
+        own = sorted((r for r in table if r.k == k), key=lambda r: r["rank"])
+        assert len(own) == 4 and own[0].model == own[0].best_model
+        assert [r.CV_RMSE for r in own] == sorted(r.CV_RMSE for r in own)
