@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.bounds import shared_dir
 
+#: Spark fills Arrow batches up to this many bytes of text while one of these operators is planned, unless the session
+#: sets a limit of its own: a batch is held several times by a task, next to those of its neighbours.
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -25,10 +29,7 @@ def in_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
     start: Callable[[], object] | None = None,
 ) -> DataFrame:
-    """Apply `function` to small Arrow batches of `df`; it also gets what `start` made once per task.
-
-    Spark ends a batch at 64 MB, so a run of long texts fits a worker.
-    """
+    """Apply `function` to small Arrow batches of `df`; it also gets what `start` made once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start() if start else None
@@ -36,6 +37,9 @@ def in_batches(
             for part in _slices(batch):
                 yield function(part, state) if start else function(part)
 
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_LIMIT, None) is None:
+        conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

@@ -127,7 +127,7 @@ class Model:
 class Scorer:
     """Scores texts with a model and remembers the margins of words it has met."""
 
-    def __init__(self, model: Model, most: int = 500_000):
+    def __init__(self, model: Model, most: int = 150_000):
         self.model, self.most, self.known = model, most, {}
 
     def best(self, texts: Sequence[str | None]) -> list[float]:
