@@ -43,6 +43,18 @@ def in_batches(
     return df.mapInArrow(run, schema)
 
 
+def in_worker(name: str, make: Callable[[], object]) -> object:
+    """What `make` made when a Python worker of Spark first asked for `name`; later tasks of that worker find it
+    again. A worker holds one such object, so what an earlier operator remembered is dropped."""
+    import pyspark
+
+    held = vars(pyspark).setdefault("_minekit_held", {})
+    if name not in held:
+        held.clear()
+        held[name] = make()
+    return held[name]
+
+
 def _slices(batch: pa.RecordBatch, most: int = 512) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, most):
         yield batch.slice(at, most)

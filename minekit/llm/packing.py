@@ -12,6 +12,7 @@ is not padded.) Pieces are dealt to groups by hash and each group is packed by i
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -19,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import in_batches
+from .common import in_batches, in_worker
 
 WINDOW = 2048
 END_ID = 1
@@ -32,56 +33,38 @@ LOOSE = 64
 class WordCache:
     """Token ids of texts, from the ids of their words between ASCII white space (as UTF-8).
 
-    Right for tokenizers whose words never reach across white space, such as those that drop it; words are
-    encoded once and remembered.
+    Right for tokenizers whose words never reach across white space, such as those that drop it. Words are encoded
+    once and remembered in two generations: when the young one is full it becomes the old one, and words met
+    again come back from there, so frequent words stay and rare ones go.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 250_000):
         self.encode, self.most = encode, most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ends = np.zeros(1 << 16, np.int64)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def learn(self, texts: Iterable[list[bytes]]) -> None:
-        new = set().union(*texts).difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self._clear()
-            new = set().union(*texts)
-        if not new:
-            return
-        words = list(new)
-        for word, ids in zip(words, self.encode([w.decode(errors="replace") for w in words])):
-            at = len(self.known)
-            self.known[word] = at
-            if at + 1 >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.ends[at + 1] = self.used
+        """Make the ids of these texts known until the next call."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        missing = set().union(*texts).difference(self.young)
+        known = missing & self.old.keys()
+        self.young.update((w, self.old[w]) for w in known)
+        new = list(missing - known)
+        if new:
+            found = self.encode([w.decode(errors="replace") for w in new])
+            self.young.update((w, array("I", ids).tobytes()) for w, ids in zip(new, found))
 
     def ids_of(self, words: list[bytes]) -> np.ndarray:
-        """The ids of words that have been learnt, as one array."""
-        if not words:
-            return np.zeros(0, np.uint32)
-        number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        starts, sizes = self.ends[number], self.ends[number + 1] - self.ends[number]
-        total = int(sizes.sum())
-        # Each word's ids follow each other: count up from its start.
-        shift = np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
-        return self.ids[shift + np.arange(total)]
+        """The ids of words of the texts learnt last, as one array."""
+        return np.frombuffer(b"".join(map(self.young.__getitem__, words)), np.uint32)
 
 
 def word_encoder(path: str) -> WordCache:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return WordCache(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+    return WordCache(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
 
 def cut_at(length: int) -> int:
@@ -198,7 +181,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, id: str, text: str, window: int,
     kind = docs.schema[id].dataType.simpleString()
     narrow = docs.select(F.col(id).alias("doc"), F.col(text).cast("binary").alias("text"))
     schema = f"doc {kind}, start long, length long, crc long, doc_tokens long, crc_head long, crc_tail long"
-    return in_batches(narrow, batch, schema, lambda: word_encoder(tokenizer))
+    return in_batches(narrow, batch, schema, lambda: in_worker(f"words of {tokenizer}", lambda: word_encoder(tokenizer)))
 
 
 def pack(
