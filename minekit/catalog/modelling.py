@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import balance, clean, encode, metrics, profile, reshape, split, supervised, unsupervised
@@ -382,6 +383,82 @@ def pca_loadings(spark, folder):
     return made.select("feature", *[F.round(F.abs(f"PC{i}"), 6).alias(f"abs_pc{i}") for i in (1, 2, 3)])
 
 
+# Two standardised columns have principal axes (1, 1) and (1, -1) over the root of 2, in the order of the sign of r,
+# with variances n / (n - 1) * (1 + |r|) and n / (n - 1) * (1 - |r|).
+PAIR = """WITH s AS (SELECT count(*) AS n, corr(p_size, p_retailprice) AS r, avg(p_size) AS a, stddev_pop(p_size) AS sa,
+ avg(p_retailprice) AS b, stddev_pop(p_retailprice) AS sb FROM part)"""
+
+
+def _pair(spark, folder):
+    rows = table(spark, folder, "part").select("p_partkey", F.array(F.col("p_size").cast("double"), "p_retailprice").alias("both"))
+    return unsupervised.principal_components(unsupervised.scaled_vectors(rows, "both"), 2, ["p_size", "p_retailprice"])
+
+
+@query(PAIR + """ SELECT p_partkey, round(abs((p_size - a) / sa + sign(r) * (p_retailprice - b) / sb) / sqrt(2), 5) AS abs_pc1,
+ round(abs((p_size - a) / sa - sign(r) * (p_retailprice - b) / sb) / sqrt(2), 5) AS abs_pc2 FROM part, s""")
+def pca_pair_scores(spark, folder):
+    return _pair(spark, folder).scores.select("p_partkey", *[F.round(F.abs(F.col("embedding")[i]), 5).alias(f"abs_pc{i + 1}") for i in range(2)])
+
+
+@query(PAIR + """ SELECT 1::BIGINT AS component, round((1 + abs(r)) / 2, 6) AS ratio, round((1 + abs(r)) / 2, 6) AS cumulative FROM s
+ UNION ALL SELECT 2::BIGINT, round((1 - abs(r)) / 2, 6), 1.0::DOUBLE FROM s""")
+def pca_pair_variance(spark, folder):
+    return R(_pair(spark, folder).variance_table(), 6)
+
+
+@query(PAIR + """ SELECT c AS feature, round(sqrt((1 + abs(r)) / 2 * n / (n - 1)), 5) AS abs_pc1, round(sqrt((1 - abs(r)) / 2 * n / (n - 1)), 5) AS abs_pc2
+ FROM s, (VALUES ('p_size'), ('p_retailprice')) AS v(c)""")
+def pca_pair_loadings(spark, folder):
+    made = _pair(spark, folder).loadings()
+    return made.select("feature", *[F.round(F.abs(f"PC{i}"), 5).alias(f"abs_pc{i}") for i in (1, 2)])
+
+
+@query(PAIR + """ SELECT 2::BIGINT AS n_components, 1.0::DOUBLE AS explained_total, 1.0::DOUBLE AS explained_first_two,
+ round(2.0::DOUBLE * n / (n - 1), 6) AS total_variance FROM s""")
+def pca_pair_metrics(spark, folder):
+    return R(_pair(spark, folder).metrics(), 6)
+
+
+# Three clouds, each far from the others, that any sound clustering finds: their squared errors are known.
+CLOUDS = """WITH c AS (SELECT o_orderstatus, o_orderkey, CASE o_orderstatus WHEN 'O' THEN 100 WHEN 'P' THEN 50 ELSE 0 END + o_totalprice / 1e6::DOUBLE AS x,
+ CASE o_orderstatus WHEN 'P' THEN 100 ELSE 0 END + (o_orderkey % 10) / 10.0::DOUBLE AS y FROM orders)"""
+
+
+def _clouds(spark, folder):
+    status = F.col("o_orderstatus")
+    x = F.when(status == "O", 100).when(status == "P", 50).otherwise(0) + F.col("o_totalprice") / 1e6
+    y = F.when(status == "P", 100).otherwise(0) + F.col("o_orderkey") % 10 / 10
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.array(x, y).alias("point"))
+    return unsupervised.scaled_vectors(rows, "point", scale=False)
+
+
+def _cluster_report(labelled):
+    """Per cluster: its statuses, rows and middle."""
+    xy = vector_to_array("features")
+    return R(labelled.groupBy("prediction").agg(
+        F.array_join(F.sort_array(F.collect_set("o_orderstatus")), ",").alias("statuses"), F.count("*").alias("n_points"),
+        F.avg(xy[0]).alias("x"), F.avg(xy[1]).alias("y")).drop("prediction"))
+
+
+_CLOUD_SQL = CLOUDS + """ SELECT o_orderstatus AS statuses, count(*) AS n_points, round(avg(x), 4) AS x, round(avg(y), 4) AS y FROM c GROUP BY 1"""
+
+
+@query(_CLOUD_SQL)
+def k_means_clouds(spark, folder):
+    return _cluster_report(unsupervised.k_means(_clouds(spark, folder), 3, n_init=4)[0])
+
+
+@query(CLOUDS + """ SELECT 3::BIGINT AS k, round(sum(s), 2) AS inertia FROM (SELECT count(*) * (var_pop(x) + var_pop(y)) AS s FROM c GROUP BY o_orderstatus)""")
+def k_means_clouds_inertia(spark, folder):
+    report = unsupervised.k_means(_clouds(spark, folder), 3, n_init=4)[1]
+    return report.select("k", F.round("inertia", 2).alias("inertia"))
+
+
+@query(_CLOUD_SQL)
+def hierarchical_clouds(spark, folder):
+    return _cluster_report(unsupervised.hierarchical(_clouds(spark, folder), 3)[0])
+
+
 @query()
 def embedding_clusters(spark, folder):
     plane = unsupervised.plane(points(spark, folder), [f"e{i}" for i in range(64)])

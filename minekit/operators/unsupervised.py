@@ -12,6 +12,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.bounds import cached, pinned
@@ -112,8 +113,7 @@ def principal_components(df: DataFrame, k: int, names: Sequence[str], features:
     """Scores as array column `embedding`; `features` must be centred."""
     model = PCA(k=k, inputCol=features, outputCol="_pc").fit(df)
     scores = model.transform(df).withColumn("embedding", vector_to_array("_pc")).drop("_pc")
-    spread = df.select(F.posexplode(vector_to_array(features)).alias("i", "v")).groupBy("i").agg(F.var_samp("v").alias("s"))
-    total = spread.agg(F.sum("s").alias("t")).first()["t"]
+    total = df.select(Summarizer.variance(F.col(features)).alias("v")).first()["v"].toArray().sum()
     return Components(scores, list(model.explainedVariance.toArray()), float(total), model.pc.toArray().tolist(), names)
 
 
