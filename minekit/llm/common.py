@@ -55,7 +55,7 @@ def in_worker(name: str, make: Callable[[], object]) -> object:
     return held[name]
 
 
-def _slices(batch: pa.RecordBatch, most: int = 512) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, most: int = 2048) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, most):
         yield batch.slice(at, most)
 

@@ -11,13 +11,15 @@ is not padded.) Pieces are dealt to groups by hash and each group is packed by i
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import in_batches, in_worker
@@ -28,36 +30,74 @@ END_ID = 1
 GROUP = 20_000
 #: A window is loose if it would be padded by more than one part in this many.
 LOOSE = 64
+#: Code points that are split into words at once.
+_AT_ONCE = 4 << 20
+_BLANK = re.compile(r"[ \t\n\v\f\r]")
 
 
 class WordCache:
-    """Token ids of texts, from the ids of their words between ASCII white space (as UTF-8).
+    """Token ids of texts, from the ids of their words between ASCII white space.
 
-    Right for tokenizers whose words never reach across white space, such as those that drop it. Words are encoded
-    once and remembered in two generations: when the young one is full it becomes the old one, and words met
-    again come back from there, so frequent words stay and rare ones go.
+    Right for tokenizers whose words never reach across white space, such as those that drop it. Arrow finds the
+    distinct words of a batch; they are encoded once and remembered in two generations: when the young one is full
+    it becomes the old one, and words met again come back from there, so frequent words stay and rare ones go.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 250_000):
         self.encode, self.most = encode, most
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def learn(self, texts: Iterable[list[bytes]]) -> None:
-        """Make the ids of these texts known until the next call."""
+    def _known(self, words: list[str]) -> list[bytes]:
         if len(self.young) > self.most:
             self.old, self.young = self.young, {}
-        missing = set().union(*texts).difference(self.young)
-        known = missing & self.old.keys()
-        self.young.update((w, self.old[w]) for w in known)
-        new = list(missing - known)
-        if new:
-            found = self.encode([w.decode(errors="replace") for w in new])
-            self.young.update((w, array("I", ids).tobytes()) for w, ids in zip(new, found))
-
-    def ids_of(self, words: list[bytes]) -> np.ndarray:
-        """The ids of words of the texts learnt last, as one array."""
-        return np.frombuffer(b"".join(map(self.young.__getitem__, words)), np.uint32)
+        found = list(map(self.young.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        again = [self.old.get(words[i]) for i in missing]
+        new = [words[i] for i, ids in zip(missing, again) if ids is None]
+        made = iter([array("I", ids).tobytes() for ids in self.encode(new)] if new else ())
+        for i, ids in zip(missing, again):
+            found[i] = self.young[words[i]] = next(made) if ids is None else ids
+        return found
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        ids = self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(lengths) - lengths
+        index = words.indices.to_numpy()
+        sizes = lengths[index]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        # The ids of a word follow each other: count up from its first.
+        every = flat[np.repeat(first[index] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return np.split(every, ends[split.offsets.to_numpy()[1:-1]])
+
+    def ids_of(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text; long texts are cut at white space and encoded part by part."""
+        held: list[str] = []
+        size = 0
+        for text in (t or "" for t in texts):
+            if size + len(text) > _AT_ONCE and held:
+                yield from self._batch(held)
+                held, size = [], 0
+            if len(text) > _AT_ONCE:
+                yield np.concatenate([self._batch([part])[0] for part in _parts(text)])
+            else:
+                held.append(text)
+                size += len(text)
+        if held:
+            yield from self._batch(held)
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A text in parts of about `_AT_ONCE` code points that end at ASCII white space."""
+    start = 0
+    while start < len(text):
+        found = _BLANK.search(text, start + _AT_ONCE)
+        end = found.end() if found else len(text)
+        yield text[start:end]
+        start = end
 
 
 def word_encoder(path: str) -> WordCache:
@@ -158,11 +198,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, id: str, text: str, window: int,
     checksums of the rest's two parts."""
 
     def batch(rows: pa.RecordBatch, cache: WordCache) -> pa.RecordBatch:
-        texts = [(t or b"").split() for t in rows.column(1).to_pylist()]
-        cache.learn(texts)
         taken, starts, lengths, sums, totals, heads, tails = [], [], [], [], [], [], []
-        for n, words in enumerate(texts):
-            ids = np.append(cache.ids_of(words), np.uint32(end_id)).astype("<u4")
+        for n, found in enumerate(cache.ids_of(rows.column(1).to_pylist())):
+            ids = np.append(found, np.uint32(end_id)).astype("<u4")
             for start in range(0, len(ids), window):
                 piece = ids[start:start + window]
                 head = cut_at(len(piece))
@@ -179,7 +217,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, id: str, text: str, window: int,
             names=["doc", "start", "length", "crc", "doc_tokens", "crc_head", "crc_tail"])
 
     kind = docs.schema[id].dataType.simpleString()
-    narrow = docs.select(F.col(id).alias("doc"), F.col(text).cast("binary").alias("text"))
+    narrow = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
     schema = f"doc {kind}, start long, length long, crc long, doc_tokens long, crc_head long, crc_tail long"
     return in_batches(narrow, batch, schema, lambda: in_worker(f"words of {tokenizer}", lambda: word_encoder(tokenizer)))
 
