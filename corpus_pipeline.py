@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from minekit.llm import decontaminate, lines, packing, simhash, toxicity
-from minekit.llm.common import crc_mod
+from minekit.llm.common import crc_mod, intermediates_removed, remove
 from minekit.plans.bounds import shared_dir
 
 
@@ -55,10 +55,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order. Every result is written to the shared folder, so each stage starts from files."""
+    """The stages in order. Every result is written to the shared folder, so each stage starts from files; when
+    it is there, what came before is removed. Only the last result stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{shared_dir(spark).rstrip('/')}/minekit-pipeline-{uuid.uuid4().hex}"
+    last = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
+        with intermediates_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        if last:
+            remove(spark, last)
+        last = f"{base}/{name}"
+        docs = spark.read.parquet(last)
     return docs

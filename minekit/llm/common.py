@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,12 +18,42 @@ _BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_written: list[str] = []
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """Write `df` as Parquet under the shared folder and read it back: lineage ends there, and a
     lost executor costs no earlier stage. Later jobs read only the columns they need."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/minekit-llm-{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later job reads, in whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove what `stored` wrote for a DataFrame that no later job reads."""
+    path = vars(df)["_stored_at"]
+    _written.remove(path)
+    remove(df.sparkSession, path)
+
+
+@contextmanager
+def intermediates_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove what `stored` wrote inside the block, which must have run all jobs that read it."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > before:
+            remove(spark, _written.pop())
 
 
 def in_batches(

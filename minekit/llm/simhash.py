@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import in_batches, stored
+from .common import forget, in_batches, stored
 
 SEGMENTS = (13, 13, 13, 13, 12)  # bits, from the lowest
 BLOCKS = 4  # of the two segments after the first
@@ -206,7 +206,8 @@ def components(edges: DataFrame) -> DataFrame:
                 .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                                           F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("e"))
                 .select("e.a", "e.b").where("a <> b").distinct())
-        edges = stored(step, "edges")
+        edges, passed = stored(step, "edges"), edges
+        forget(passed)
         after = edges.agg(total.alias("t")).first()["t"]
         if after == before:
             break
