@@ -170,7 +170,7 @@ def test_gap_labels(spark):
         df = spark.range(5).select((F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * step)).alias("t"))
         return profile.frequency(df, "t").first()["frequency"]
 
-    assert [label(s) for s in (60, 86_400, 7 * 86_400, 30 * 86_400, 90 * 86_400)] == ["Horaria", "Diaria", "Semanal", "Mensual", "90 days"]
+    assert [label(s) for s in (60, 86_400, 7 * 86_400, 30 * 86_400, 90 * 86_400)] == ["Horaria", "Diaria", "Semanal", "Mensual", "90 days 00:00:00"]
 
 
 def test_upsert_and_best(spark):
