@@ -71,16 +71,23 @@ def _bin(packed: Column) -> Column:
 
 def _slots(elements: Column) -> Column:
     """Fingerprint from the sorted elements: one int per slot, 0 where no element fell into its bins."""
+    slot_of = lambda packed: F.shiftright(packed, 64 - SLOTS.bit_length() + 1) + SLOTS // 2
 
     def of_least(least: Column) -> Column:
-        def slot(s: Column) -> Column:
-            own = F.filter(least, lambda e: F.floor(_bin(e) / GROUP) == s)
-            in_text = F.transform(F.array_sort(F.transform(own, lambda e: F.struct(_position(e).alias("at"), e.alias("e")))),
-                                  lambda x: F.shiftright(x.e, _POSITION))
-            hashed = F.hash(in_text)
-            return F.when(F.size(own) == 0, F.lit(_EMPTY)).when(hashed == _EMPTY, F.lit(1)).otherwise(hashed)
-
-        return F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), slot)
+        def filled(starts: Column) -> Column:
+            def slot(start: Column, i: Column) -> Column:
+                own = F.slice(least, start + 1, F.coalesce(F.get(starts, i + 1), F.size(least)) - start)
+                # Position in the upper bits, hash in the lower ones: sorted, they are in text order.
+                turned = F.sort_array(F.transform(own, lambda e: F.shiftleft(_position(e), 64 - _POSITION).bitwiseOR(
+                    F.shiftrightunsigned(e, _POSITION))))
+                hashed = F.hash(F.transform(turned, lambda e: e.bitwiseAND(F.lit((1 << 64 - _POSITION) - 1).cast("long"))))
+                return F.struct(slot_of(F.get(least, start)).cast("int").alias("slot"), F.when(hashed == _EMPTY, 1).otherwise(hashed).alias("hash"))
+
+            return F.map_from_entries(F.transform(starts, slot))
+
+        found = _let(_run_starts(least, lambda a, b: slot_of(a) == slot_of(b)), filled)
+        return _let(found, lambda m: F.transform(
+            F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.coalesce(F.try_element_at(m, s), F.lit(_EMPTY))))
 
     least = F.transform(_run_starts(elements, lambda a, b: _bin(a) == _bin(b)), lambda i: F.get(elements, i))
     return _let(least, of_least)

@@ -269,7 +269,7 @@ def test_numbered_kmers_and_slots(spark):
         groups = {}
         for b, (h, at) in bins.items():
             groups.setdefault(b // orderhash.GROUP, []).append((at, h))
-        rows = [(s, [h for _, h in sorted(x)]) for s, x in groups.items()]
+        rows = [(s, [h & mask for _, h in sorted(x)]) for s, x in groups.items()]
         want = {r.s: r.h for r in spark.createDataFrame(rows, "s int, e array<long>").select("s", F.hash("e").alias("h")).collect()}
         assert prints[i] == [want.get(s, 0) for s in range(orderhash.SLOTS)]
 
