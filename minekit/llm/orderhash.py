@@ -130,12 +130,13 @@ def with_next(docs: DataFrame, id: str, columns: dict[str, Column], parts: int |
 
     Ranges of ids end at ids that occur, so a range's last row finds its successor as a guest row: the
     next range's first, which is the row at that range's upper end. `parts` bounds the ranges, and so the guests.
+    The ends are the greatest ids of Spark's own ranges: approximate percentiles are doubles, which miss ids above 2^53.
     """
     spark = docs.sparkSession
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fractions = [i / parts for i in range(1, parts + 1)]
-    ends = docs.select(F.percentile_approx(F.col(id), fractions, 100 * parts).alias("ends")).first()["ends"]
-    ends = sorted(set(ends or []))
+    ids = docs.select(F.col(id).cast("long").alias("end")).where("end is not null").repartitionByRange(parts, "end")
+    greatest = ids.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.max("end").alias("end"))
+    ends = sorted(r["end"] for r in greatest.collect())
     key = F.coalesce(F.col(id).cast("long"), F.lit(-(1 << 63)))
     rows = docs.select(F.col(id).alias("id"), key.alias("key"), F.struct(*[c.alias(n) for n, c in columns.items()]).alias("own"))
     # The range of a row: how many upper ends lie below it, counted by blocks of ends first.

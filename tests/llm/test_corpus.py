@@ -297,6 +297,18 @@ def test_edits_take_the_next_document(spark, messy, parts):
     assert by_id[6].fingerprint == by_id[7].fingerprint and by_id[7].near_next == 1.0 and by_id[5].near_edited > by_id[5].near_next
 
 
+@pytest.mark.parametrize("ids", ["hashes", "neighbours"])
+def test_next_document_of_ids_that_no_double_holds(spark, ids):
+    draw = random.Random(9)
+    ids = [draw.getrandbits(64) - 2**63 for _ in range(300)] if ids == "hashes" else [2**62 + i for i in range(300)]
+    rows = [(i, f"text number {n} " * 3, "en") for n, i in enumerate(ids)]
+    docs = as_docs(spark, rows)
+    want = sorted((i, t, following) for i, t, following in brute_next(rows))
+    for parts in (7, 100):
+        got = orderhash.with_next(docs, "doc_id", {"text": F.col("text")}, parts).collect()
+        assert sorted((r.doc_id, r.text, r.next.text) for r in got) == want
+
+
 def test_order_matters_and_single_rows(spark, none):
     a = " ".join(f"w{i}" for i in range(400))
     b = " ".join([f"w{i}" for i in range(200, 400)] + [f"w{i}" for i in range(200)])
