@@ -215,7 +215,8 @@ def train(rows: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: int =
     negative = frequent[:1500]
     model = constant
     for turn in range(rounds):
-        positive = [w for w in witness if len(w) > LENGTH or turn == 0][: 3000]
+        # A word of a single subsequence is like many others: as a witness it must be typical by itself.
+        positive = [w for w in witness if len(w) > LENGTH or w in typical][: 3000]
         variants = [_inserted(w, rng) for w in positive[:200]]
         words = positive + variants + negative
         weight = np.array([math.sqrt(witness[w]) for w in positive] + [0.7 * math.sqrt(witness[w]) for w in positive[:200]]

@@ -170,6 +170,18 @@ def test_toxicity_tolerates_gaps_and_insertions(tox, insult):
     assert scorer.scores([f"tare moli {insult} nasover"])[0] > scorer.scores(["tare moli nasover"])[0] + 0.2
 
 
+@pytest.mark.parametrize("clean_uses", [0, 2])
+def test_toxicity_of_a_three_letter_insult(clean_uses):
+    """Documents toxic only by a word of three letters, which a few clean texts hold too."""
+    rows = [(t.replace("dimwit", "oaf"), y) for _, t, _, y in toxic_rows()]
+    for n in range(1, clean_uses + 1):
+        rows[n] = (rows[n][0] + " oaf", 0)
+    scorer = toxicity.Scorer(toxicity.train(rows))
+    clean = [t for t, y in rows if not y and "oaf" not in t]
+    assert min(scorer.scores(["tare oaf moli", "Nasover, oaf!"])) >= 0.5
+    assert sum(s >= 0.5 for s in scorer.scores(clean)) < 0.05 * len(clean)
+
+
 def test_folded_weights_are_the_kernel_expansion():
     words = ["blockhead", "tare", "é-né"[:2] + "bcd", "moli"]
     table = toxicity.table_of(words)
