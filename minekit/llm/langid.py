@@ -139,7 +139,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROW
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(
         "lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Distinct texts, as copies share a hash: a row count would leave a language with many copies hardly any text.
+    distinct = known.select("lang", F.xxhash64("text", "lang").alias("hash")).distinct()
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, 0)), np.zeros((BUCKETS, 0)), np.zeros((0, 0)))

@@ -223,6 +223,15 @@ def test_languages_are_told_apart(spark, kinds):
     assert [found[i].lang_pred for i in (-1, -2, -3)] == ["und"] * 3 and found[-4].lang_pred == "aa"
 
 
+def test_copies_leave_a_language_its_share_of_texts(spark, monkeypatch):
+    stored, seen = langid.stored, []
+    monkeypatch.setattr(langid, "stored", lambda df, what: seen.append(stored(df, what)) or seen[-1])
+    rows = [(i, f"kako ke {i}", "aa") for i in range(200)] + [(i, "kako", "aa") for i in range(5000)]
+    langid.fit(as_docs(spark, rows + [(i, f"lulo li {i}", "bb") for i in range(200)]), rows=100)
+    kept = {r["lang"]: r["count"] for r in seen[0].groupBy("lang").count().collect()}
+    assert all(70 < kept.get(lang, 0) < 130 for lang in ("aa", "bb")), kept
+
+
 def test_languages_of_odd_tables(messy, none):
     model = langid.fit(messy)
     assert langid.predict(messy, model).count() == messy.count()
