@@ -6,9 +6,9 @@ features when letters are inserted or left out. K(a, b) is the product of both f
 word length. Landmarks are words; the Nyström map sends a word to K(word, landmarks) K(landmarks,
 landmarks)^-1/2, where a linear SVM is trained by dual coordinate descent.
 
-Labels mark documents, sentences get them: every sentence of a clean document is clean, and of a toxic
-document the sentence with the word that the present model rates highest is toxic (for the first model: the
-word most typical of toxic documents). A sentence stands for its most toxic word, so the SVM sees words.
+Labels mark documents, words get them in place of sentences: every word of a clean document is clean, and of a
+toxic document the word that the present model rates highest is toxic (for the first model: the word most typical
+of toxic documents). A text that is toxic only by a phrase of ordinary words is not found.
 
 After training, the SVM's weights are folded back through the landmarks into one weight per feature. Scoring
 a word sums looked-up weights: exactly the kernel expansion, at a cost that does not depend on the landmarks.
