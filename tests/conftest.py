@@ -6,8 +6,6 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,7 +27,3 @@ def tight(spark):
     yield spark
     spark.conf.unset(GROUP_ROWS)
     spark.conf.unset(BROADCAST_ROWS)
-
-
-def rows(df):
-    return sorted(tuple(r) for r in df.collect())

@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
-from conftest import DATA, rows
+from table_data import DATA, rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 

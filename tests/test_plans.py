@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import DATA, rows
+from table_data import DATA, rows
 from pyspark.sql import Window, functions as F
 
 from minekit.plans import neighbours

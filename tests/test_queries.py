@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 from check_queries import TABLES, rows_of
-from conftest import DATA
+from table_data import DATA
 
 from __spark_entry__ import entry, oracle_sql, queries
 

@@ -1,7 +1,7 @@
 """One answer on both sides of every bound, and no row, bin, series or link that vanishes."""
 
 import pytest
-from conftest import rows
+from table_data import rows
 from pyspark.sql import functions as F
 
 from minekit.functions.markup import parse

@@ -5,7 +5,7 @@ from urllib.parse import urljoin
 
 import numpy as np
 import pytest
-from conftest import DATA, rows
+from table_data import DATA, rows
 from pyspark.sql import functions as F
 
 from minekit.functions import text
