@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, lines, orderhash, packing, simhash, tokens, toxicity, urls, warc
+from . import (
+    decontaminate, divergence, fim, langid, lines, orderhash, packing, repeats, simhash, tokens, toxicity, urls, warc,
+)
 from .common import LOWER, UPPER, crc_mod
 from ..catalog.registry import table
 
@@ -154,3 +156,73 @@ def op10_warc_derivatives(spark, folder):
         header["Content-Type"].alias("content_type"),
         header["Content-Length"].cast("long").alias("content_length"),
         warc.text_of(F.col("block")).alias("block"), F.sha2("record", 256).alias("record_sha256"))
+
+
+_TERMS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+@query(f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS_SQL} AS terms FROM documents
+), word AS (SELECT row, lang, source, unnest(terms) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS all_n FROM word GROUP BY ALL HAVING count(DISTINCT row) >= 30),
+cell AS (SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+total AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM grp LEFT JOIN cell USING (lang, source) GROUP BY ALL),
+vocabulary AS (SELECT lang, count(*)::HUGEINT AS v, sum(all_n)::HUGEINT AS all_total FROM kept GROUP BY lang),
+share AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (all_n + 5)) // (all_total + 5 * v) AS q
+  FROM total JOIN kept USING (lang) JOIN vocabulary USING (lang) LEFT JOIN cell USING (lang, source, term)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), merged AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM share WHERE n > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM merged)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op11_source_divergence(spark, folder):
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+@query()
+def op12_suffix_dedup(spark, folder):
+    found = repeats.without_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents
+), counted AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+         ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2, ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4
+  FROM doc
+), formed AS (
+  SELECT *, len(units) AS n, CASE
+    WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b
+  FROM counted
+), parted AS (
+  SELECT *, array_to_string(units[:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix
+  FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+                        ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parted
+""")
+def op13_fill_in_middle(spark, folder):
+    found = fim.fill_in_middle(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
