@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import balance, clean, encode, metrics, profile, reshape, split, supervised, unsupervised
+from ..operators import balance, clean, encode, metrics, newton, profile, reshape, split, supervised, unsupervised
 from ..plans.neighbours import nearest
 from .registry import query, table
 
@@ -262,6 +262,32 @@ def cross_validation(spark, folder):
     return R(profile.metric_summary(supervised.evaluate(task, scored, ["fold"]).drop("fold")))
 
 
+def _newton_sql(k: int, steps: int, l2: float) -> str:
+    """Newton's method for one feature and an intercept, all folds side by side, a step per table expression."""
+    parts = [f"""p AS (SELECT l_orderkey % {k} AS fold, l_quantity::DOUBLE / 50 AS x, CAST(l_returnflag = 'R' AS DOUBLE) AS y FROM lineitem),
+ b_0 AS (SELECT range AS model, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b0 FROM range({k}))"""]
+    for i in range(steps):
+        parts.append(f"""d_{i} AS (SELECT model, b1, b0, x, y, 1 / (1 + exp(-(b1 * x + b0))) AS p FROM p JOIN b_{i} ON fold <> model),
+ g_{i} AS (SELECT model, any_value(b1) AS b1, any_value(b0) AS b0, sum((p - y) * x) + {l2} * any_value(b1) AS g1, sum(p - y) AS g0,
+   sum(p * (1 - p) * x * x) + {l2} AS h11, sum(p * (1 - p) * x) AS h10, sum(p * (1 - p)) AS h00 FROM d_{i} GROUP BY model),
+ b_{i + 1} AS (SELECT model, b1 - (h00 * g1 - h10 * g0) / (h11 * h00 - h10 * h10) AS b1, b0 - (h11 * g0 - h10 * g1) / (h11 * h00 - h10 * h10) AS b0 FROM g_{i})""")
+    return f"""WITH {", ".join(parts)}, s AS (SELECT fold, y, 1 / (1 + exp(-(b1 * x + b0))) AS p FROM p JOIN b_{steps} ON fold = model)
+ SELECT fold, count(*) AS n, round(-avg(y * ln(p) + (1 - y) * ln(1 - p)), 6) AS log_loss, round(avg((y - p) ** 2), 6) AS brier FROM s GROUP BY fold"""
+
+
+@query(_newton_sql(4, 4, 1.0))
+def newton_folds(spark, folder):
+    rows = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") % 4).alias("fold"), F.array(F.col("l_quantity").cast("double") / 50).alias("x"),
+        (F.col("l_returnflag") == "R").cast("double").alias("y"))
+    sets = F.array(*[(F.col("fold") != i).cast("double") for i in range(4)])
+    model = newton.fit(rows, "y", "x", sets, scale=False, iterations=4, tolerance=0.0)
+    scored = rows.select("fold", "y", model.score(F.col("x"), F.col("fold").cast("int")).alias("p"))
+    loss = -F.avg(F.col("y") * F.log("p") + (1 - F.col("y")) * F.log(1 - F.col("p")))
+    return scored.groupBy("fold").agg(
+        F.count("*").alias("n"), F.round(loss, 6).alias("log_loss"), F.round(F.avg((F.col("y") - F.col("p")) ** 2), 6).alias("brier"))
+
+
 @query()
 def network_comparison(spark, folder):
     task = document_task(spark, folder)

@@ -190,3 +190,52 @@ def calendar_quality(spark, folder):
 def linear_fit(spark, folder):
     models = linear.fit(table(spark, folder, "lineitem"), "l_extendedprice", ["l_quantity"], ["l_returnflag"])
     return models.select("l_returnflag", F.round(F.col("coefficients")[0], 4).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
+# ---------------------------------------------------------------- trees on lags
+
+
+def _tree_sql(lags: int, depth: int, bins: int, min_leaf: int, source: str, key: str) -> str:
+    """One regression tree per series, grown level by level from bin totals; the last rows are predicted."""
+    names = [f"total_lag_{i}" for i in range(1, lags + 1)]
+    at = ", ".join(f"coalesce(least({bins - 1}, greatest(0, CAST(floor(({n} - lo_{n}) / nullif(hi_{n} - lo_{n}, 0) * {bins}) AS INTEGER))), 0)" for n in names)
+    bounds = ", ".join(f"min({n}) FILTER (is_train) OVER g AS lo_{n}, max({n}) FILTER (is_train) OVER g AS hi_{n}" for n in names)
+    parts = [_lags(lags, source, key), f"""p AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY day) AS pos, count(*) OVER (PARTITION BY {key}) AS n FROM lagged),
+ cut AS (SELECT *, pos <= n - greatest(1, round_even(n * 0.25, 0)) AS is_train FROM p),
+ bounded AS (SELECT *, {bounds} FROM cut WINDOW g AS (PARTITION BY {key})),
+ rows_0 AS (SELECT {key}, day, label, is_train, [{at}] AS bins, 1 AS node FROM bounded)"""]
+    for d in range(depth):
+        parts.append(f"""cells_{d} AS (SELECT {key}, node, label, unnest(bins) AS bin, generate_subscripts(bins, 1) AS feature FROM rows_{d} WHERE is_train AND node >= {2 ** d}),
+ hist_{d} AS (SELECT {key}, node, feature, bin, count(*) AS n, sum(label) AS s FROM cells_{d} GROUP BY ALL),
+ cum_{d} AS (SELECT {key}, node, feature, bin, sum(n) OVER l AS nl, sum(s) OVER l AS sl, sum(n) OVER w AS n, sum(s) OVER w AS s FROM hist_{d}
+   WINDOW w AS (PARTITION BY {key}, node, feature), l AS (PARTITION BY {key}, node, feature ORDER BY bin)),
+ gain_{d} AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS raw FROM cum_{d} WHERE nl >= {min_leaf} AND n - nl >= {min_leaf}),
+ best_{d} AS (SELECT {key}, node, feature, bin FROM gain_{d} WHERE raw > (s * s / n + sl * sl / nl) * 1e-12 AND round(raw, 6) > 0
+   QUALIFY row_number() OVER (PARTITION BY {key}, node ORDER BY round(raw, 6) DESC, feature, bin) = 1),
+ rows_{d + 1} AS (SELECT r.{key}, day, label, is_train, bins, CASE WHEN b.bin IS NULL THEN r.node ELSE 2 * r.node + CAST(bins[feature] > b.bin AS INTEGER) END AS node
+   FROM rows_{d} r LEFT JOIN best_{d} b ON r.{key} = b.{key} AND r.node = b.node)""")
+    parts.append(f"leaves AS (SELECT {key}, node, avg(label) AS prediction FROM rows_{depth} WHERE is_train GROUP BY ALL)")
+    return f"""WITH {{}}, {", ".join(parts)}
+ SELECT r.{key}, day, label, round(prediction, 6) AS prediction FROM rows_{depth} r LEFT JOIN leaves l ON r.{key} = l.{key} AND r.node = l.node WHERE NOT is_train"""
+
+
+@query(_tree_sql(1, 1, 16, 1, "daily", "event_type").format(DAILY))
+def lag_stump(spark, folder):
+    found = timeseries.lag_tree_holdout(daily(spark, folder), "day", "total", 1, ["event_type"], depth=1, bins=16)
+    return found.withColumn("prediction", F.round("prediction", 6))
+
+
+@query(_tree_sql(5, 3, 32, 5, "series", "series").format(ORDERS))
+def lag_trees(spark, folder):
+    found = timeseries.lag_tree_holdout(sales(spark, folder), "day", "total", 5, ["series"], depth=3, min_leaf=5)
+    return found.withColumn("prediction", F.round("prediction", 6))
+
+
+@query()
+def lag_forest_backtest(spark, folder):
+    return timeseries.lag_tree_backtest(daily(spark, folder), "day", "total", 3, ["event_type"], 3, kind="forest", depth=3, rounds=10)
+
+
+@query()
+def lag_boosted_forecast(spark, folder):
+    return timeseries.lag_tree_forecast(daily(spark, folder), "day", "total", 3, 14, ["event_type"], kind="boosted", depth=2, rounds=5)

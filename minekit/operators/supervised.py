@@ -13,11 +13,11 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.bounds import complete_rows, join_facts, pinned
 from ..plans.hashing import row_text
-from . import balance, encode, metrics, profile, reshape, split
+from . import balance, encode, metrics, newton, profile, reshape, split
 
 
 @dataclass
@@ -176,9 +176,47 @@ def holdout(task: Task, name: str, **params) -> DataFrame:
     return _fit_predict(task, name, params, rows.filter("is_train"), rows.filter("not is_train"))
 
 
+def fits_at_once(task: Task, name: str, params: Mapping) -> bool:
+    """Whether all folds, seeds or weightings of a model are fitted by `newton` in the same passes: two-class logistic
+    regression with a quadratic penalty and no resampling."""
+    p = with_overrides(name, params)
+    return name == "logistic" and task.kind == "classification" and not task.sampling and p["penalty"] == "l2" and task.n_classes() == 2
+
+
+def _fit_at_once(task: Task, rows: DataFrame, members: Sequence[Column], weightings: Sequence[str | None], params: Mapping) -> newton.Logistic:
+    """One model per membership condition over `rows`, with the class weights of its own training rows."""
+    counts = rows.groupBy("label").agg(*[F.count_if(m).alias(f"n{i}") for i, m in enumerate(members)]).collect()  # two rows
+    sizes = {r["label"]: r for r in counts}
+    weights = []
+    for i, (member, weighting) in enumerate(zip(members, weightings)):
+        n = {label: max(sizes[label][f"n{i}"], 1) if label in sizes else 1 for label in (0.0, 1.0)}
+        factor = {0.0: 1.0, 1.0: 1.0}
+        if weighting == "balanced":
+            factor = {label: (n[0.0] + n[1.0]) / (2.0 * n[label]) for label in n}
+        elif weighting == "scale_pos_weight":
+            factor[float(task.positive)] = max(n[1.0 - task.positive] / n[float(task.positive)], 1.0)
+        chosen = F.when(F.col("label") == 1.0, F.lit(factor[1.0])).otherwise(F.lit(factor[0.0]))
+        weights.append(F.when(member, chosen).otherwise(F.lit(0.0)))
+    p = with_overrides("logistic", params)
+    return newton.fit(rows, "label", "vector", F.array(*weights), 1.0 / p["C"], task.scale, p["max_iter"])
+
+
+def _scored(rows: DataFrame, model: newton.Logistic, number: Column, *keys: Column) -> DataFrame:
+    """Written once, as every metric reads it."""
+    scored = rows.select(*keys, "id", "label", model.score(F.col("vector"), number).alias("score"))
+    return pinned(scored.select(*[c for c in scored.columns if c != "score"], (F.col("score") > 0.5).cast("double").alias("prediction"), "score"))
+
+
 def folded(task: Task, name: str, k: int = 10, **params) -> DataFrame:
-    """(fold, id, label, prediction, score) over all folds; scaler, sampler and weights are refitted."""
+    """(fold, id, label, prediction, score) over all folds; scaler, sampler and weights are refitted.
+
+    Folds of a two-class logistic regression are fitted together, in as many passes as one of them takes.
+    """
     rows = pinned(split.folds(task.table(), ["id"], k, task.seed, task.stratify()))
+    if fits_at_once(task, name, params):
+        points = _vectors(rows, task.features, "fold")
+        model = _fit_at_once(task, points, [F.col("fold") != i for i in range(k)], [task.class_weight] * k, params)
+        return _scored(points, model, F.col("fold"), F.col("fold"))
     made = []
     for i in range(k):
         part = _fit_predict(task, name, params, rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i))
@@ -244,7 +282,19 @@ def seed_stability(task: Task, name: str, seeds: Sequence[int], **params) -> tup
     """Metrics per seed, and their mean, deviation and range."""
     task.sizes()  # shared by all seeds
     made = []
-    for seed in seeds:
+    together = fits_at_once(task, name, params)
+    if together:
+        rows = task.table()
+        for i, seed in enumerate(seeds):
+            rows = split.train_test(rows, ["id"], task.train_size, seed, task.stratify()).withColumnRenamed("is_train", f"_in{i}")
+        flags = [f"_in{i}" for i in range(len(seeds))]
+        points = _vectors(pinned(rows), task.features, *flags)
+        model = _fit_at_once(task, points, [F.col(c) for c in flags], [task.class_weight] * len(seeds), params)
+        held = F.filter(F.sequence(F.lit(0), F.lit(len(seeds) - 1)), lambda i: ~F.get(F.array(*flags), i))
+        tested = points.select("id", "label", "vector", F.explode(held).alias("_model"))
+        seed = F.get(F.array(*[F.lit(s) for s in seeds]), F.col("_model")).alias("seed")
+        made.append(_scored(tested, model, F.col("_model"), seed))
+    for seed in [] if together else seeds:
         one = Task(**{**task.__dict__, "seed": seed})
         made.append(holdout(one, name, **{**params, "seed": seed}).select(F.lit(seed).alias("seed"), "*"))
     each = evaluate(task, reshape.stack(made), ["seed"])
@@ -260,8 +310,16 @@ def seed_stability(task: Task, name: str, seeds: Sequence[int], **params) -> tup
 def balance_comparison(task: Task, name: str, **params) -> tuple[DataFrame, DataFrame]:
     """Metrics and ROC points with plain and with balanced class weights."""
     task.sizes()  # shared by both scenarios
-    made = []
-    for label, weight in (("none", None), ("balanced", "balanced")):
+    made, scenarios = [], {"none": None, "balanced": "balanced"}
+    together = fits_at_once(task, name, params)
+    if together:
+        rows = pinned(split.train_test(task.table(), ["id"], task.train_size, task.seed, task.stratify()))
+        points = _vectors(rows, task.features, "is_train")
+        model = _fit_at_once(task, points, [F.col("is_train")] * 2, list(scenarios.values()), params)
+        tested = points.where(~F.col("is_train")).withColumn("_model", F.explode(F.array(F.lit(0), F.lit(1))))
+        name_of = F.get(F.array(*map(F.lit, scenarios)), F.col("_model")).alias("scenario")
+        made.append(_scored(tested, model, F.col("_model"), name_of))
+    for label, weight in [] if together else scenarios.items():
         one = Task(**{**task.__dict__, "class_weight": weight})
         made.append(holdout(one, name, **params).select(F.lit(label).alias("scenario"), "*"))
     held = reshape.stack(made)

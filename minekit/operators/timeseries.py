@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.bounds import GROUP_ROWS, attach, complete_rows, has_large_group, join_facts, limit_of, pinned, require
 from ..plans.ordering import lagged, row_numbers
-from . import clean, linear, metrics, profile, reshape, split
+from . import clean, linear, metrics, profile, reshape, split, trees
 
 # Smoothing weights that are tried when none are given: level, trend, season.
 GRID = tuple(itertools.product((0.2, 0.5, 0.8), (0.01, 0.1, 0.3), (0.05, 0.2, 0.5)))
@@ -138,6 +138,52 @@ def lag_forecast(
     return recursive_forecast(df, models, time, value, lags, horizon, by, step)
 
 
+def lag_tree_holdout(
+    df: DataFrame, time: str, value: str, lags: int = 7, by: Sequence[str] = (), test_size: int | None = None,
+    features: Sequence[str] = (), kind: str = "tree", depth: int = 3, bins: int = 32, large: bool | None = None, **options,
+) -> DataFrame:
+    """(by, time, label, prediction) for the last rows of each series, by trees on its lags (see `trees.fit`).
+
+    All series grow their trees together; a forest draws rows by their time.
+    """
+    table = pinned(lag_table(df, time, value, lags, by, features, large))
+    parts = split.time_split(table, time, by, test_size)
+    xs = [*lag_names(value, lags), *[c for c in features if c != value]]
+    models = trees.fit(parts.filter("is_train"), "label", xs, by, kind, depth, bins, key=[time], **options)
+    tested = trees.predict(parts.filter("not is_train"), models, xs, by, depth, bins)
+    return tested.select(*by, time, "label", "prediction")
+
+
+def lag_tree_backtest(
+    df: DataFrame, time: str, value: str, lags: int = 7, by: Sequence[str] = (), k: int = 5, test_size: int | None = None,
+    gap: int = 0, kind: str = "tree", depth: int = 3, bins: int = 32, **options,
+) -> DataFrame:
+    """Mean and deviation over expanding-window folds of each metric; the trees of all series and folds grow together."""
+    folded = pinned(split.expanding_folds(pinned(lag_table(df, time, value, lags, by)), time, by, k, test_size, gap))
+    xs, keys = lag_names(value, lags), [*by, "fold"]
+    models = trees.fit(folded.filter("role = 'train'"), "label", xs, keys, kind, depth, bins, key=[time], **options)
+    tested = trees.predict(folded.filter("role = 'test'"), models, xs, keys, depth, bins)
+    return profile.metric_summary(metrics.regression(tested, keys).drop("fold"), by, ["MAE", "MSE", "RMSE", "R2", "MAPE_pct"])
+
+
+def lag_tree_forecast(
+    df: DataFrame, time: str, value: str, lags: int = 7, horizon: int = 30, by: Sequence[str] = (), step: str = "1 day",
+    kind: str = "tree", depth: int = 3, bins: int = 32, **options,
+) -> DataFrame:
+    """(by, step, time, forecast): trees fitted to the whole series, each prediction feeding the lags of the next."""
+    table = lag_table(df, time, value, lags, by)
+    models = trees.fit(table, "label", lag_names(value, lags), by, kind, depth, bins, key=[time], **options)
+    ready = join_facts(last_values(df, time, value, lags, by), models.drop("n_bins", "depth"), by, "left")
+
+    def extend(known: Column, _: Column) -> Column:
+        nxt = trees.tree_value([F.element_at(known, -i) for i in range(1, lags + 1)], bins, depth)
+        return F.concat(known, F.array(nxt))
+
+    grown = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("history"), extend)
+    values = F.when(F.size("history") >= lags, F.slice(grown, F.lit(lags + 1), F.lit(horizon)))
+    return _steps(ready, by, _or_nulls(values, horizon), time, step)
+
+
 # ---------------------------------------------------------------- additive Holt-Winters
 # A state is (level, trend, one slot per phase of the season).  Each update is linear in the
 # state and the new value, so a long series is cut into runs whose effects are composed.
