@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..plans.bounds import attach, complete_rows, join_facts, pinned
 from . import reshape
 
-def _bins(xs: Sequence[Column], bins: int) -> Column:
-    """Bin numbers of the features of a row that carries `lo` and `hi`; values beyond a bound fall into the last bin there."""
+def _bins(xs: Sequence[Column], bins: int, bounds: Column) -> Column:
+    """Bin numbers of the features of a row, given (lo, hi); values beyond a bound fall into the last bin there."""
     def bin_of(i: int, x: Column) -> Column:
-        low, high = F.col("lo")[i], F.col("hi")[i]
+        low, high = bounds.lo[i], bounds.hi[i]
         at = F.floor(F.try_divide(x - low, high - low) * bins)
         return F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(at, F.lit(0)))).cast("int")
 
@@ -33,8 +33,9 @@ def _place(tree: Column, bins: Column, depth: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), step)
 
 
-def _grow(rows: DataFrame, by: Sequence[str], width: int, depth: int, min_leaf: int) -> DataFrame:
-    """(by, splits, leaves) of one tree per group, from rows of `by`, `bins`, `target`, `weight`.
+def _grow(rows: DataFrame, by: Sequence[str], depth: int, min_leaf: int) -> DataFrame:
+    """(by, splits, leaves) of one tree per group, from rows of `by` (names that begin with `_`, or `tree`), `bins`,
+    `target` and `weight`.
 
     A split needs `min_leaf` rows on either side and a gain; equal gains go to the first feature, then the least bin.
     """
@@ -61,7 +62,7 @@ def _grow(rows: DataFrame, by: Sequence[str], width: int, depth: int, min_leaf:
         found = best.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("node", "cut"))).alias("more"))
         if splits is None:
             # Every group has a tree, if only a leaf.
-            splits = join_facts(rows.groupBy(*by).agg(F.count("*").alias("_n")), found, by, "left")
+            splits = join_facts(rows.groupBy(*by).agg(F.count("*").alias("rows")), found, by, "left")
             none = F.expr("CAST(map() AS map<int,struct<feature:int,bin:int>>)")
             splits = splits.select(*by, F.coalesce("more", none).alias("splits"))
         else:
@@ -98,46 +99,44 @@ def fit(
     df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), kind: str = "tree", depth: int = 3, bins: int = 32,
     min_leaf: int = 1, rounds: int = 20, rate: float = 0.1, key: Sequence[str] = (),
 ) -> DataFrame:
-    """(by, lo, hi, base, trees) per group. `kind` is `tree`, `boosted` (each of `rounds` trees is fitted to what the
-    sum before it leaves, shrunk by `rate`) or `forest` (the mean of `rounds` trees on rows drawn with replacement by a
-    hash of `key`). Rows with a missing value are left out. Levels and boosting rounds are jobs; groups are not.
+    """(by, _model) per group. `kind` is `tree`, `boosted` (each of `rounds` trees is fitted to what the sum before it
+    leaves, shrunk by `rate`) or `forest` (the mean of `rounds` trees on rows drawn with replacement by a hash of
+    `key`). Rows with a missing value are left out. Levels and boosting rounds are jobs; groups are not.
     """
     if kind not in ("tree", "boosted", "forest"):
         raise ValueError(f"unknown kind of trees: {kind}")
-    by, xs = list(by), list(xs)
+    xs = list(xs)
     if kind == "forest" and not key:
         raise ValueError("a forest draws rows by a hash of their key: name its columns")
-    named = [F.col(x).cast("double").alias(f"_x{i}") for i, x in enumerate(xs)]
+    groups = [f"_k{i}" for i in range(len(by))]  # names of our own, whatever the caller's are
     names = [f"_x{i}" for i in range(len(xs))]
     draw = F.xxhash64(*key) if key else F.lit(0).cast("long")
-    rows = complete_rows(df.select(*by, F.col(y).cast("double").alias("_y"), *named, draw.alias("_key")), ["_y", *names])
-    facts = pinned(rows.groupBy(*by).agg(
-        F.array(*[F.min(n) for n in names]).alias("lo"), F.array(*[F.max(n) for n in names]).alias("hi"),
-        F.avg("_y").alias("_mean"), F.count("*").alias("_n")).where("_n > 0"))
-    placed = attach(rows, facts, by).select(*by, _bins([F.col(n) for n in names], bins).alias("bins"), "_y", "_mean", "_key")
-    placed = pinned(placed)
+    rows = complete_rows(df.select(
+        *[F.col(c).alias(g) for c, g in zip(by, groups)], F.col(y).cast("double").alias("y"),
+        *[F.col(x).cast("double").alias(n) for x, n in zip(xs, names)], draw.alias("key")), ["y", *names])
+    bounds = F.struct(F.array(*[F.min(n) for n in names]).alias("lo"), F.array(*[F.max(n) for n in names]).alias("hi"))
+    facts = pinned(rows.groupBy(*groups).agg(bounds.alias("bounds"), F.avg("y").alias("mean"), F.count("*").alias("n")).where("n > 0"))
+    at = _bins([F.col(n) for n in names], bins, F.col("bounds"))
+    placed = pinned(attach(rows, facts, groups).select(*groups, at.alias("bins"), "y", "mean", "key"))
     if kind == "forest":
         each = placed.withColumn("tree", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-        drawn = each.withColumn("weight", _poisson(F.col("_key"), F.col("tree"))).where("weight > 0").withColumnRenamed("_y", "target")
-        grown = _grow(drawn.select(*by, "tree", "bins", "target", "weight"), [*by, "tree"], len(xs), depth, min_leaf)
-        grown = _listed(grown, by)
-        base = F.lit(0.0)
+        drawn = each.withColumn("weight", _poisson(F.col("key"), F.col("tree"))).where("weight > 0").withColumnRenamed("y", "target")
+        grown = _grow(drawn.select(*groups, "tree", "bins", "target", "weight"), [*groups, "tree"], depth, min_leaf)
+        base, share = F.lit(0.0), 1.0 / rounds
     else:
-        shrink = rate if kind == "boosted" else 1.0
-        sofar = placed.select(*by, "bins", "_y", (F.col("_mean") if kind == "boosted" else F.lit(0.0)).alias("_f"))
-        trees = []
-        for _ in range(rounds if kind == "boosted" else 1):
-            tree = _grow(sofar.select(*by, "bins", (F.col("_y") - F.col("_f")).alias("target"), F.lit(1.0).alias("weight")), by, len(xs), depth, min_leaf)
-            trees.append(tree.withColumn("tree", F.lit(len(trees) + 1)))
+        base, share = (F.col("mean"), rate) if kind == "boosted" else (F.lit(0.0), 1.0)
+        sofar, made = placed.select(*groups, "bins", "y", base.alias("f")), []
+        for number in range(1, (rounds if kind == "boosted" else 1) + 1):
+            left = sofar.select(*groups, "bins", (F.col("y") - F.col("f")).alias("target"), F.lit(1.0).alias("weight"))
+            made.append(_grow(left, groups, depth, min_leaf).withColumn("tree", F.lit(number)))
             if kind == "boosted":
-                known = attach(sofar, tree.select(*by, F.struct("splits", "leaves").alias("_t")), by)
-                sofar = pinned(known.select(*by, "bins", "_y", (F.col("_f") + shrink * _value(F.col("_t"), F.col("bins"), depth)).alias("_f")))
-        grown = _listed(reshape.stack(trees), by)
-        base = F.col("_mean") if kind == "boosted" else F.lit(0.0)
-    out = join_facts(facts, grown, by)
-    share = {"tree": 1.0, "boosted": rate, "forest": 1.0 / rounds}[kind]
-    return pinned(out.select(
-        *by, "lo", "hi", base.alias("base"), F.lit(share).alias("share"), F.lit(bins).alias("n_bins"), F.lit(depth).alias("depth"), "trees"))
+                known = attach(sofar, made[-1].select(*groups, F.struct("splits", "leaves").alias("t")), groups)
+                value = F.col("f") + share * _value(F.col("t"), F.col("bins"), depth)
+                sofar = pinned(known.select(*groups, "bins", "y", value.alias("f")))
+        grown = reshape.stack(made)
+    out = join_facts(facts, _listed(grown, groups), groups)
+    model = F.struct("bounds", base.alias("base"), F.lit(share).alias("share"), "trees").alias("_model")
+    return pinned(out.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], model))
 
 
 def _listed(grown: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -148,22 +147,24 @@ def _listed(grown: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def tree_value(xs: Sequence[Column], bins: int, depth: int) -> Column:
-    """The prediction for a row that carries the model's columns; null if a feature is missing."""
+    """The prediction for a row that carries `_model`; null if that or a feature is missing."""
+    model = F.col("_model")
+
     # The bin numbers are bound to a lambda variable, so they are worked out once and not once per tree.
     def total(at: Column) -> Column:
-        return F.aggregate("trees", F.lit(0.0), lambda sum_, t: sum_ + F.coalesce(_value(t, at, depth), F.lit(0.0)))
+        return F.aggregate(model.trees, F.lit(0.0), lambda sum_, t: sum_ + F.coalesce(_value(t, at, depth), F.lit(0.0)))
 
-    value = F.col("base") + F.col("share") * F.transform(F.array(_bins(xs, bins)), total)[0]
-    known = F.lit(True)
+    value = model.base + model.share * F.transform(F.array(_bins(xs, bins, model.bounds)), total)[0]
+    known = model.isNotNull()
     for x in xs:
         known = known & x.isNotNull()
-    return F.when(known & F.col("trees").isNotNull(), value)
+    return F.when(known, value)
 
 
 def predict(
     df: DataFrame, models: DataFrame, xs: Sequence[str], by: Sequence[str] = (), depth: int = 3, bins: int = 32, out: str = "prediction",
 ) -> DataFrame:
-    """Add the prediction; rows of a group without a model, or with a missing feature, get a null."""
-    carried = attach(df, models.drop("n_bins", "depth"), by, "left")
-    value = tree_value([F.col(x).cast("double") for x in xs], bins, depth)
-    return carried.withColumn(out, value).drop("lo", "hi", "base", "share", "trees")
+    """Add the prediction, with the `depth` and `bins` of the fit; rows of a group without a model, or with a missing
+    feature, get a null."""
+    carried = attach(df, models, by, "left")
+    return carried.withColumn(out, tree_value([F.col(x).cast("double") for x in xs], bins, depth)).drop("_model")
