@@ -28,6 +28,8 @@ WINDOW = 100
 SEED, FINE = 32, 16
 #: Windows of a piece at most; bytes looked at in one step; pieces of a bucket, and of one key before it is cut again.
 RUN, AT_ONCE, BUCKET, HOT = 128, 1 << 20, 2048, 16_384
+#: Symbols of a transform's leaf when leaves are dealt, and at most.
+LEAF, MOST_IN_LEAF = 192, 384
 
 #: Kinds of rows: a piece; a piece that its batch holds again or that may repeat in itself; one that repeats another.
 _NEW, _TWICE, _SEEN = 0, 1, 2
@@ -152,10 +154,12 @@ def _piece_hashes(texts: list[bytes], which: np.ndarray, start: np.ndarray, size
 
 
 class CollectionTransform:
-    """The Burrows-Wheeler transform of a collection, one symbol of every piece a round.
+    """The Burrows-Wheeler transform of a collection of pieces of at least a window, one symbol of every piece a round.
 
-    `suffix` are the sorted suffixes as places in the joined pieces and `equal` says whether a suffix shares `window`
-    bytes with the one before it. Suffixes shorter than a window take their places but share no window.
+    The transform lies in leaves with a count of every symbol, so that a round counts the symbols before the newest
+    suffixes from whole leaves and a part of one. Once suffixes are as long as a window, `suffix` (the sorted suffixes,
+    as places in the joined pieces) and `equal` (whether a suffix shares `window` bytes with the one before it) are
+    carried along; shorter suffixes share no window.
     """
 
     def __init__(self, pieces: list[bytes], window: int):
@@ -164,59 +168,101 @@ class CollectionTransform:
         raw = np.frombuffer(b"".join(pieces), np.uint8)
         present = np.bincount(raw, minlength=256) > 0
         symbol = np.where(present, np.cumsum(present), 0)[raw].astype(np.uint8)  # 0 ends a piece
-        kinds = int(present.sum()) + 1
-        self.window, self._eights = window, _eights(raw)
-        n = len(pieces)
-        self.suffix = ends.astype(np.int32 if len(raw) < 1 << 31 else np.int64)
+        self.n, self.kinds, self.window, self._eights = len(pieces), int(present.sum()) + 1, window, _eights(raw)
         self.transform = symbol[ends - 1]
-        self.equal = np.zeros(n, bool)
-        place, active = np.arange(n), np.arange(n)  # where the newest suffix of each active piece stands
+        self._deal()
+        place, active = np.arange(self.n), np.arange(self.n)  # where the newest suffix of each active piece stands
         for length in range(1, int(sizes.max()) + 1):
-            if length > 1:
+            if length == window:
+                self.suffix, self.equal = self._suffixes(ends, place), np.zeros(len(self.transform), bool)
+            if length > window:
                 go_on = sizes[active] >= length
                 active, place = active[go_on], place[go_on]
             by = np.argsort(place)
             active, place = active[by], place[by]
-            inserted = symbol[ends[active] - length]
-            # Symbols before each place: counts between neighbouring places, summed up.
-            gaps = np.diff(place, prepend=0, append=len(self.transform))
-            segment = np.repeat(np.arange(len(gaps)) * kinds, gaps) + self.transform
-            counts = np.bincount(segment, minlength=len(gaps) * kinds).reshape(-1, kinds)
-            total = counts.sum(axis=0)
-            rank = np.cumsum(counts, axis=0)[np.arange(len(active)), inserted]
-            total[0] = n  # all pieces' empty suffixes come first
-            target = np.cumsum(total)[inserted - 1] + rank
-            more = sizes[active] > length
-            preceding = np.where(more, symbol[np.maximum(ends[active] - length - 1, 0)], 0).astype(np.uint8)
-            self._insert(target, ends[active] - length, preceding, length >= window)
-            place = target
-
-    def _insert(self, target: np.ndarray, suffix: np.ndarray, preceding: np.ndarray, whole: bool) -> None:
-        size = len(self.suffix) + len(target)
-        old = np.ones(size, bool)
-        old[target] = False
-        old = np.flatnonzero(old)
-        for name, values in (("transform", preceding), ("suffix", suffix), ("equal", None)):
-            held = getattr(self, name)
-            made = np.empty(size, held.dtype)
-            made[old] = held
-            made[target] = False if values is None else values
-            setattr(self, name, made)
-        if whole:
-            below = target[target + 1 < size] + 1
-            for upper in (target, below):
-                self.equal[upper] = self._same(self.suffix[upper - 1].astype(np.int64), self.suffix[upper].astype(np.int64))
+            starts = ends[active] - length
+            preceding = np.where(sizes[active] > length, symbol[np.maximum(starts - 1, 0)], 0).astype(np.uint8)
+            place = self._targets(symbol[starts], place)
+            self._insert(place, preceding)
+            if length >= window:
+                self._insert_suffixes(place, starts)
+
+    def _deal(self) -> None:
+        """Deal the transform to leaves of one size and count the symbols of each."""
+        size, leaves = len(self.transform), -(-len(self.transform) // LEAF)
+        self._starts = np.minimum(np.arange(leaves + 1) * LEAF, size)
+        cells = self.transform.astype(np.int64) * leaves
+        cells += np.arange(size) // LEAF
+        self._counts = np.bincount(cells, minlength=self.kinds * leaves).astype(np.int32).reshape(self.kinds, leaves)
+
+    def _targets(self, inserted: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Where the symbols put before the suffixes at `place` take them, once all are inserted."""
+        leaf = np.searchsorted(self._starts, place, "right") - 1
+        leaf = np.minimum(leaf, len(self._starts) - 2)
+        inside = place - self._starts[leaf]
+        upto = np.cumsum(self._counts, axis=1, dtype=np.int64)
+        total = upto[:, -1].copy()
+        total[0] = self.n  # the pieces' empty suffixes come first
+        found = np.cumsum(total)[inserted.astype(np.int64) - 1] + upto[inserted, leaf] - self._counts[inserted, leaf]
+        width = int(inside.max())
+        if width:
+            padded = np.concatenate((self.transform, np.zeros(width, np.uint8)))
+            rows = np.ndarray((len(self.transform) + 1, width), np.uint8, padded, 0, (1, 1))[self._starts[leaf]]
+            same = rows == inserted[:, None]
+            same &= np.arange(width, dtype=np.uint16) < inside[:, None].astype(np.uint16)
+            found += np.bitwise_count(np.packbits(same, axis=1)).sum(axis=1, dtype=np.int64)
+        return found
+
+    def _insert(self, target: np.ndarray, preceding: np.ndarray) -> None:
+        self._old = np.ones(len(self.transform) + len(target), bool)
+        self._old[target] = False
+        self.transform = self._merged(self.transform, target, preceding)
+        by = np.argsort(target)
+        leaves = len(self._starts) - 1
+        leaf = np.minimum(np.searchsorted(self._starts, target[by] - np.arange(len(target)), "right") - 1, leaves - 1)
+        self._starts[1:] += np.cumsum(np.bincount(leaf, minlength=leaves))
+        cells = preceding[by].astype(np.int64) * leaves + leaf
+        self._counts += np.bincount(cells, minlength=self.kinds * leaves).astype(np.int32).reshape(self.kinds, leaves)
+        if np.diff(self._starts).max() > MOST_IN_LEAF:
+            self._deal()
+
+    def _merged(self, held: np.ndarray, target: np.ndarray, values) -> np.ndarray:
+        made = np.empty(len(self._old), held.dtype)
+        made[self._old] = held
+        made[target] = values
+        return made
+
+    def _suffixes(self, ends: np.ndarray, newest: np.ndarray) -> np.ndarray:
+        """The sorted suffixes so far: from every piece's end, the transform leads to the suffix one symbol longer."""
+        inserted = self.transform.copy()
+        inserted[newest] = 0  # their symbols are not inserted yet
+        order = np.argsort(inserted, kind="stable")
+        known = order[np.count_nonzero(inserted == 0):]
+        longer = np.empty(len(inserted), np.int64)
+        longer[known] = self.n + np.arange(len(known))
+        suffix = np.empty(len(inserted), np.int32 if ends[-1] < 1 << 31 else np.int64)
+        at = np.arange(self.n)
+        for length in range(self.window):
+            if length:
+                at = longer[at]
+            suffix[at] = ends - length
+        return suffix
+
+    def _insert_suffixes(self, target: np.ndarray, starts: np.ndarray) -> None:
+        self.suffix = self._merged(self.suffix, target, starts)
+        self.equal = self._merged(self.equal, target, False)
+        for upper in (target, target[target + 1 < len(self.suffix)] + 1):
+            self.equal[upper] = self._same(self.suffix[upper - 1].astype(np.int64), self.suffix[upper].astype(np.int64))
 
     def _same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the windows at the places are equal. (A shorter suffix never is: it ends in its piece, and is told
-        apart by the caller's runs, which take whole windows only.)"""
+        """Whether the windows at the places are equal. (Next to a shorter suffix, which ends in its piece, the answer
+        has no meaning, and no two equal windows have one between them.)"""
         last = len(self._eights) - 1
-        same = np.ones(len(a), bool)
+        same = np.zeros(len(a), bool)
         open_ = np.arange(len(a))
         for at in [*range(0, self.window - 7, 8), self.window - 8]:
-            equal = self._eights[np.minimum(a[open_] + at, last)] == self._eights[np.minimum(b[open_] + at, last)]
-            same[open_[~equal]] = False
-            open_ = open_[equal]
+            open_ = open_[self._eights[np.minimum(a[open_] + at, last)] == self._eights[np.minimum(b[open_] + at, last)]]
+        same[open_] = True
         return same
 
 
