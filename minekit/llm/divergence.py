@@ -63,7 +63,8 @@ class PointerSort:
                 continue
             mine = self.order[low:high]
             keys = self.characters(mine, depth)
-            pivot = np.sort(keys[:: max(1, len(keys) // 9)])[4]
+            sample = np.sort(keys[:: max(1, len(keys) // 9)])
+            pivot = sample[len(sample) // 2]
             less, equal = keys < pivot, keys == pivot
             self.order[low:high] = np.concatenate((mine[less], mine[equal], mine[~(less | equal)]))
             first = low + int(np.count_nonzero(less))

@@ -11,6 +11,7 @@ equal windows; all but the earliest are repeats.
 What stands between the steps lies in Parquet files of the shared folder. A bucket's transform is bounded and held in
 arrays, because a task may not rely on a local folder; a key with too many distinct pieces is not built at once: its
 pieces are cut again by the contents of both halves of their windows and, if that is not enough, into single windows.
+Equal pieces are collapsed before, for copies of a piece repeat all of it, and a piece whose key no other one has is left out.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ WINDOW = 100
 #: Bytes of the strings whose least hash is a window's key, and of those that cut the pieces of a hot key again.
 SEED, FINE = 32, 16
 #: Windows of a piece at most; bytes looked at in one step; pieces of a bucket, and of one key before it is cut again.
-RUN, AT_ONCE, BUCKET, HOT = 128, 1 << 20, 2048, 16_384
+RUN, AT_ONCE, BUCKET, HOT = 128, 1 << 18, 2048, 4096
 #: Symbols of a transform's leaf when leaves are dealt, and at most.
 LEAF, MOST_IN_LEAF = 192, 384
 
-#: Kinds of rows: a piece; a piece that its batch holds again or that may repeat in itself; one that repeats another.
-_NEW, _TWICE, _SEEN = 0, 1, 2
+#: Kinds of rows, as bits: a piece that its batch holds again, one that may hold a window twice, one that repeats another.
+_NEW, _TWICE, _INNER, _SEEN = 0, 1, 2, 4
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -159,7 +160,7 @@ class CollectionTransform:
     The transform lies in leaves with a count of every symbol, so that a round counts the symbols before the newest
     suffixes from whole leaves and a part of one. Once suffixes are as long as a window, `suffix` (the sorted suffixes,
     as places in the joined pieces) and `equal` (whether a suffix shares `window` bytes with the one before it) are
-    carried along; shorter suffixes share no window.
+    carried along, the latter as the lowest bit beside the place; shorter suffixes share no window.
     """
 
     def __init__(self, pieces: list[bytes], window: int):
@@ -174,7 +175,7 @@ class CollectionTransform:
         place, active = np.arange(self.n), np.arange(self.n)  # where the newest suffix of each active piece stands
         for length in range(1, int(sizes.max()) + 1):
             if length == window:
-                self.suffix, self.equal = self._suffixes(ends, place), np.zeros(len(self.transform), bool)
+                self._entries = self._suffixes(ends, place) << 1
             if length > window:
                 go_on = sizes[active] >= length
                 active, place = active[go_on], place[go_on]
@@ -186,6 +187,7 @@ class CollectionTransform:
             self._insert(place, preceding)
             if length >= window:
                 self._insert_suffixes(place, starts)
+        self.suffix, self.equal = (self._entries >> 1).astype(np.int64), (self._entries & 1).astype(bool)
 
     def _deal(self) -> None:
         """Deal the transform to leaves of one size and count the symbols of each."""
@@ -200,8 +202,8 @@ class CollectionTransform:
         leaf = np.searchsorted(self._starts, place, "right") - 1
         leaf = np.minimum(leaf, len(self._starts) - 2)
         inside = place - self._starts[leaf]
-        upto = np.cumsum(self._counts, axis=1, dtype=np.int64)
-        total = upto[:, -1].copy()
+        upto = np.cumsum(self._counts, axis=1, dtype=np.int32)
+        total = upto[:, -1].astype(np.int64)
         total[0] = self.n  # the pieces' empty suffixes come first
         found = np.cumsum(total)[inserted.astype(np.int64) - 1] + upto[inserted, leaf] - self._counts[inserted, leaf]
         width = int(inside.max())
@@ -240,7 +242,7 @@ class CollectionTransform:
         known = order[np.count_nonzero(inserted == 0):]
         longer = np.empty(len(inserted), np.int64)
         longer[known] = self.n + np.arange(len(known))
-        suffix = np.empty(len(inserted), np.int32 if ends[-1] < 1 << 31 else np.int64)
+        suffix = np.empty(len(inserted), np.int32 if ends[-1] < 1 << 30 else np.int64)
         at = np.arange(self.n)
         for length in range(self.window):
             if length:
@@ -249,10 +251,14 @@ class CollectionTransform:
         return suffix
 
     def _insert_suffixes(self, target: np.ndarray, starts: np.ndarray) -> None:
-        self.suffix = self._merged(self.suffix, target, starts)
-        self.equal = self._merged(self.equal, target, False)
-        for upper in (target, target[target + 1 < len(self.suffix)] + 1):
-            self.equal[upper] = self._same(self.suffix[upper - 1].astype(np.int64), self.suffix[upper].astype(np.int64))
+        self._entries = self._merged(self._entries, target, starts << 1)
+        inserted = ~self._old
+        # A new suffix is compared with its neighbours on both sides; between two new ones that is done once.
+        below = target + 1
+        below = below[below < len(inserted)]
+        for upper in (target, below[~inserted[below]]):
+            place = self._entries[upper] >> 1
+            self._entries[upper] = (place << 1) | self._same((self._entries[upper - 1] >> 1).astype(np.int64), place.astype(np.int64))
 
     def _same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the windows at the places are equal. (Next to a shorter suffix, which ends in its piece, the answer
@@ -276,7 +282,7 @@ def repeated_spans(
     transform = CollectionTransform(pieces, window)
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     ends = np.cumsum(sizes)
-    suffix = transform.suffix.astype(np.int64)
+    suffix = transform.suffix
     piece = np.minimum(np.searchsorted(ends, suffix, "right"), len(pieces) - 1)
     whole = ends[piece] - suffix >= window
     run = np.cumsum(~transform.equal)[whole]
@@ -328,7 +334,7 @@ def _batch_pieces(rows: pa.RecordBatch, window: int) -> pa.RecordBatch:
     row[1:] &= (rank[1:] == rank[:-1]) & (start[1:] == start[:-1])
     other = np.cumsum(~same) - 1
     held = np.bincount(other, weights=~row, minlength=1)[other] > 1 if len(other) else row
-    kind = np.where(same, _SEEN, np.where(held | twice, _TWICE, _NEW))
+    kind = np.where(same, _SEEN, np.where(held, _TWICE, _NEW) | np.where(twice, _INNER, _NEW))
     keep = pa.array(np.flatnonzero(~row))
     columns = [pa.array(key.view(np.int64)), pa.array(piece.view(np.int64)), rows.column("doc").take(pa.array(which)),
                rows.column("hash").take(pa.array(which)), pa.array(start), pa.array(windows.astype(np.int32)), pa.array(kind.astype(np.int32))]
@@ -336,25 +342,33 @@ def _batch_pieces(rows: pa.RecordBatch, window: int) -> pa.RecordBatch:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pieces sorted by key, piece and place, those whose key occurs again; the first of equal pieces is new."""
-    held, before = None, None
+    """Of pieces sorted by key, piece and place, those whose key occurs again; the first of equal pieces is new.
 
-    def judged(rows: pa.RecordBatch, last: bool):
+    The last row of a batch waits for the next one. A place met again belongs to a repeated row and is left out.
+    """
+    held, before = None, None  # the row that waits, and the one before it
+
+    def judged(rows: pa.RecordBatch, last: bool) -> pa.RecordBatch:
         nonlocal before
-        key, piece, kind = (rows.column(c).to_numpy() for c in ("key", "piece", "kind"))
+        known = rows if before is None else pa.Table.from_batches([before, rows]).combine_chunks().to_batches()[0]
+        skip = len(known) - len(rows)
+        key, piece, hash, start, kind = (known.column(c).to_numpy() for c in ("key", "piece", "hash", "start", "kind"))
         like = np.zeros(len(key), bool)
         like[1:] = key[1:] == key[:-1]
         equal = like.copy()
         equal[1:] &= piece[1:] == piece[:-1]
-        if before is not None:
-            like[0], equal[0] = key[0] == before[0], (key[0], piece[0]) == before
-        again = np.append(like[1:], False)
-        use = like | again | (kind == _TWICE)
+        place = equal.copy()
+        place[1:] &= (hash[1:] == hash[:-1]) & (start[1:] == start[:-1])
+        doc = known.column("doc")
+        for i in np.flatnonzero(place).tolist():
+            place[i] = doc[i].as_py() == doc[i - 1].as_py()
+        use = like | np.append(like[1:], False) | (kind != _NEW)
+        use &= ~place
+        use[:skip] = False
         if not last:
             use[-1] = False
-            if len(key) > 1:
-                before = (key[-2], piece[-2])
-        out = rows.set_column(6, "kind", pa.array(np.where(equal, _SEEN, _NEW).astype(np.int32)))
+            before = known.slice(len(known) - 2, 1) if len(known) > 1 else None
+        out = known.set_column(6, "kind", pa.array(np.where(equal, _SEEN, kind & _INNER).astype(np.int32)))
         return out.take(pa.array(np.flatnonzero(use)))
 
     for batch in batches:
@@ -367,6 +381,15 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield judged(held, True)
 
 
+def _cut(key: int, body: bytes, window: int, level: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """The pieces of a piece by the keys of a finer level: key, piece, offset, windows and bytes."""
+    which, at, windows, finer, _ = pieces_of([body], window, level)
+    own = _piece_hashes([body], which, at, windows + window - 1)
+    finer = _mixed(finer ^ np.uint64(key & 0xFFFFFFFFFFFFFFFF))
+    for k, p, a, n in zip(finer.view(np.int64).tolist(), own.view(np.int64).tolist(), at.tolist(), windows.tolist()):
+        yield k, p, a, n, body[a:a + n + window - 1]
+
+
 class _Resolver:
     """Takes pieces sorted by key, piece and place; gives seen pieces, repeated spans, and pieces cut again."""
 
@@ -410,11 +433,8 @@ class _Resolver:
 
     def cut(self, row: tuple) -> None:
         _, _, doc, hash, start, _, body = row
-        which, at, windows, key, _ = pieces_of([body], self.window, self.level + 1)
-        own = _piece_hashes([body], which, at, windows + self.window - 1)
-        key = _mixed(key ^ np.uint64(self.key & 0xFFFFFFFFFFFFFFFF))
-        for a, n, k, p in zip(at.tolist(), windows.tolist(), key.view(np.int64).tolist(), own.view(np.int64).tolist()):
-            self.out.append((k, p, doc, hash, start + a, n, _NEW, body[a:a + n + self.window - 1]))
+        for k, p, a, n, part in _cut(self.key, body, self.window, self.level + 1):
+            self.out.append((k, p, doc, hash, start + a, n, _NEW, part))
 
     def close(self) -> None:
         self.ready += self.group
@@ -469,15 +489,20 @@ def repeats(
     found = stored(met.mapInArrow(_candidates, _ddl(kind)).unionByName(every.where(F.col("kind") == _SEEN)), "candidates")
     forget(every)
 
-    wanted = found.where(F.col("kind") == _NEW).groupBy("doc", "hash").agg(
-        F.collect_list(F.struct("key", "piece", "start", "windows")).alias("pieces")).withColumnsRenamed({"doc": "_doc", "hash": "_hash"})
+    # A window can only equal one of another piece with its key, or one of its own piece that holds the key's string twice.
+    first = found.where(F.col("kind") != _SEEN)
+    partners = first.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    first = first.join(partners, "key").where((F.col("n") > 1) | (F.col("kind") == _INNER))
+    wanted = first.groupBy("doc", "hash").agg(
+        F.collect_list(F.struct("key", "piece", "start", "windows", (F.col("n") > hot).alias("crowded"))).alias("pieces"),
+    ).withColumnsRenamed({"doc": "_doc", "hash": "_hash"})
     fetched = keyed.join(wanted, keyed["doc"].eqNullSafe(wanted["_doc"]) & (keyed["hash"] == wanted["_hash"])).select("doc", "hash", "text", "pieces")
     bodies = in_batches(fetched, lambda rows: _bodies(rows, window), _ddl(kind, body=True))
     results, level = [found.where(F.col("kind") == _SEEN).select("doc", "hash", "start", "windows")], 0
     while True:
         made = stored(_resolved(bodies, kind, window, level, bucket, hot), f"repeats-{level}")
         results.append(made.where(F.col("kind") == _SEEN).select("doc", "hash", "start", "windows"))
-        bodies, level = made.where(F.col("kind") == _NEW), level + 1
+        bodies, level = made.where(F.col("kind") != _SEEN), level + 1
         if level > 2 or bodies.isEmpty():
             break
     spans = results[0]
@@ -499,18 +524,20 @@ def _apart(spans: str):
 
 
 def _bodies(rows: pa.RecordBatch, window: int) -> pa.RecordBatch:
-    """A row with its bytes per wanted piece."""
-    lists = rows.column("pieces")
-    flat, sizes = lists.flatten(), lists.value_lengths().fill_null(0).to_numpy()
-    row = np.repeat(np.arange(len(rows)), sizes)
+    """A row with its bytes per wanted piece; pieces of a crowded key are cut by the next level's keys at once."""
+    out = []
     texts = rows.column("text").cast(pa.binary()).to_pylist()
-    start, windows = flat.field("start"), flat.field("windows")
-    ends = (start.to_numpy() + windows.to_numpy() + window - 1).tolist()
-    body = [texts[i][a:b] for i, a, b in zip(row.tolist(), start.to_pylist(), ends)]
-    take = pa.array(row)
-    return pa.RecordBatch.from_arrays(
-        [flat.field("key"), flat.field("piece"), rows.column("doc").take(take), rows.column("hash").take(take), start, windows,
-         pa.array(np.full(len(row), _NEW, np.int32)), pa.array(body, pa.binary())], schema=_fields(rows.schema.field("doc").type, body=True))
+    for doc, hash, text, pieces in zip(rows.column("doc").to_pylist(), rows.column("hash").to_pylist(), texts, rows.column("pieces").to_pylist()):
+        for p in pieces:
+            start, windows = p["start"], p["windows"]
+            body = text[start:start + windows + window - 1]
+            if p["crowded"]:
+                out += [(k, q, doc, hash, start + a, n, _NEW, part) for k, q, a, n, part in _cut(p["key"], body, window, 1)]
+            else:
+                out.append((p["key"], p["piece"], doc, hash, start, windows, _NEW, body))
+    fields = _fields(rows.schema.field("doc").type, body=True)
+    columns = zip(*out) if out else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, fields)], schema=fields)
 
 
 def without_repeats(
