@@ -78,7 +78,17 @@ def _inside(node: Node, steps) -> bool:
     return True
 
 
-class _Builder(HTMLParser):
+class TolerantParser(HTMLParser):
+    """The standard parser, with marked sections that it does not know (`<![x[`) read as comments up to the next `>`."""
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
+
+class _Builder(TolerantParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)

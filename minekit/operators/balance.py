@@ -46,8 +46,10 @@ def _by_size(counts: dict) -> list:
 
 def near_miss(df: DataFrame, id_col: str, label: str, vector: str, k: int = 3) -> DataFrame:
     """All rows of the smallest class, and as many of each other class: those whose k nearest rows of
-    the smallest class are closest on average."""
+    the smallest class are closest on average. Rows without a class go, so a table without classes gives no row."""
     counts = class_counts(df, label)
+    if not counts:
+        return df.filter(F.col(label).isNotNull())
     rare = _by_size(counts)[0]
     few = df.filter(F.col(label) == rare)
     many = df.filter(F.col(label) != rare)
@@ -61,7 +63,7 @@ def near_miss(df: DataFrame, id_col: str, label: str, vector: str, k: int = 3) -
 def _draws(df: DataFrame, label: str, seed: int) -> tuple[DataFrame, dict]:
     """(label, _draw, _index): the picks that bring every class to the size of the largest one."""
     counts = class_counts(df, label)
-    target = max(counts.values())
+    target = max(counts.values(), default=0)
     missing = [(c, target - n, n) for c, n in counts.items() if target > n]
     ends = list(accumulate(m for _, m, _ in missing))
     spark = df.sparkSession

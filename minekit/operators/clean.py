@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import text
-from ..plans.bounds import complete_rows, require, small_rows
+from ..plans.bounds import complete_rows, require
 from ..plans.quantiles import quantiles
 
 
@@ -123,7 +123,8 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def drop_duplicates(df: DataFrame, columns: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
-    """Distinct rows, or the first row by `order` for each value of `columns`.
+    """Distinct rows, or the first row by `order` for each value of `columns`; rows tied on `order` go by their other
+    columns from left to right, so the partitioning decides nothing.
 
     Keeping the first is an aggregate, so each task sends at most one row per key.
     """
@@ -133,7 +134,8 @@ def drop_duplicates(df: DataFrame, columns: Sequence[str] = (), order: Sequence[
     if not order:
         raise ValueError("keeping the first row of each key needs an order")
     rest = [c for c in df.columns if c not in columns]
-    lead = F.struct(*[F.col(c) for c in order])
+    sortable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    lead = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *(c for c in rest if c in sortable)])])
     first = df.groupBy(*columns).agg(F.min_by(F.struct(*rest), lead).alias("_row")) if rest else df.distinct()
     return first.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
 
@@ -172,12 +174,7 @@ def categorical_like(df: DataFrame, max_distinct: int = 20) -> list[str]:
 def fill_statistics(df: DataFrame, strategy: str) -> dict[str, object]:
     """The value each column is filled with: mean or median of numbers, lowest mode of any column."""
     if strategy == "mode":
-        found = {}
-        # One counted column at a time keeps every aggregate keyed by value, never by column.
-        for c in df.columns:
-            top = df.filter(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).limit(1).collect()
-            found[c] = top[0][c] if top else None
-        return {c: v for c, v in found.items() if v is not None}
+        return _modes(df)
     names = numeric_names(df)
     if not names:
         return {}
@@ -192,6 +189,24 @@ def fill_statistics(df: DataFrame, strategy: str) -> dict[str, object]:
     return {c: v for c, v in found.items() if v is not None}
 
 
+def _modes(df: DataFrame) -> dict[str, object]:
+    """The lowest most frequent value of each column, from one count of (column, value) pairs. Columns of other types
+    than numbers, text, dates, times and booleans have none."""
+    plain = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    fields = [f for f in df.schema if isinstance(f.dataType, plain)]
+    if not fields:
+        return {}
+    number = [F.col(f.name).cast("double") if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double") for f in fields]
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(f.name).cast("string").alias("v"), x.alias("x")) for i, (f, x) in enumerate(zip(fields, number))])
+    counted = df.select(F.inline(pairs)).filter("v is not null").groupBy("c", "v", "x").agg(F.count("*").alias("n"))
+    rows = counted.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), "x", "v")).alias("v")).collect()  # a row per column
+    if not rows:
+        return {}
+    typed = df.sparkSession.range(1).select(*[F.lit(r["v"]).cast(fields[r["c"]].dataType).alias(fields[r["c"]].name) for r in rows])
+    return typed.first().asDict()
+
+
 def impute(df: DataFrame, strategy: str = "mean") -> DataFrame:
     values = fill_statistics(df, strategy)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
@@ -251,11 +266,10 @@ def supervised_table(
 def remap_binary_target(df: DataFrame, target: str, mapping: Mapping[int, int] = {-1: 0, 1: 1}) -> DataFrame:
     """Map the two accepted values; any other value is an error."""
     allowed = list(mapping)
-    values = small_rows(df.filter(F.col(target).isNotNull()).select(target).distinct(), 1000)
-    odd = [r[0] for r in values or [] if r[0] not in allowed and r[0] not in mapping.values()]
-    if values is None or odd:
+    value, done = F.col(target), list(mapping.values())
+    if not df.filter(value.isNotNull() & ~value.isin([*allowed, *done])).isEmpty():
         raise ValueError(f"'{target}' holds values other than {allowed}")
-    if {r[0] for r in values} <= set(mapping.values()):
+    if df.filter(value.isin([x for x in allowed if x not in done])).isEmpty():
         return df.withColumn(target, F.col(target).cast("int"))
     coded = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
     return df.withColumn(target, F.try_element_at(coded, F.col(target).cast("int")))

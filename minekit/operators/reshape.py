@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.bounds import attach, require
+from ..plans.bounds import attach, require, same_keys
 from .clean import numeric_names
 
 
@@ -25,7 +25,11 @@ def calendar(df: DataFrame, date: str, by: Sequence[str] = (), step: str = "1 da
 
 def missing_dates(df: DataFrame, date: str, by: Sequence[str] = (), step: str = "1 day") -> DataFrame:
     seen = df.select(*by, F.to_date(date).alias(date)).distinct()
-    return calendar(df, date, by, step).join(seen, [*by, date], "left_anti")
+    """Dates of the calendar that a series lacks; a null key is a series like any other."""
+    keys = [*by, date]
+    renamed = seen.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    every = calendar(df, date, by, step)
+    return every.join(renamed, same_keys(every, renamed, keys, "_k_"), "left_anti")
 
 
 def map_labels(df: DataFrame, column: str, labels: Mapping, out: str) -> DataFrame:

@@ -402,26 +402,29 @@ def holdout_predictions(
 ) -> DataFrame:
     """(model, by, time, label, prediction) of every model on the last rows of each series.
 
-    Forecasts meet the held-out rows by their place after the cut, as one step is one row.
+    Predictions meet the held-out rows by their place in the series, so times may repeat and keys may be null. Places
+    go by time, then value.
     """
     rows = pinned(complete_rows(df.select(*by, time, F.col(value).try_cast("double").alias(value)), [time, value]))
     large = has_large_group(rows, by)
     cut = split.time_split(rows, time, by, test_size)
     train = cut.filter("is_train").drop("is_train")
-    test = row_numbers(cut.filter("not is_train"), by, [time], "step", large).select(
-        *by, time, F.col("step").cast("int").alias("step"), F.col(value).cast("double").alias("label")
+    test = row_numbers(cut.filter("not is_train"), by, [time, value], "step", large)
+    test = row_numbers(test, by, [F.desc(time), F.desc(value)], "_back", large).select(
+        *by, time, F.col("step").cast("int").alias("step"), "_back", F.col(value).cast("double").alias("label")
     )
     by_lags = lag_holdout(rows, time, value, lags, by, test_size, (0.0, 1.0), large=large)
     name = F.when(F.col("alpha") == 0, "Linear").otherwise("Ridge")
-    by_lags = by_lags.select(name.alias("model"), *by, time, "prediction")
+    by_lags = row_numbers(by_lags.withColumn("model", name), ["model", *by], [F.desc(time), F.desc("label")], "_back", large)
+    by_lags = by_lags.select("model", *by, "_back", "prediction")
     # Every model answers for every held-out row, with a null where the series is too short for it.
-    named = test.select(F.explode(F.array(F.lit("Linear"), F.lit("Ridge"))).alias("model"), *by, time, "label")
-    tables = [named.join(by_lags, ["model", *by, time], "left").select("model", *by, time, "label", "prediction")]
+    named = test.select(F.explode(F.array(F.lit("Linear"), F.lit("Ridge"))).alias("model"), *by, time, "_back", "label")
+    tables = [join_facts(named, by_lags, ["model", *by, "_back"], "left").select("model", *by, time, "label", "prediction")]
     direct = {f"HoltWinters_{period}": holt_winters(train, time, value, by, period, test_size, step=step, large=large)}
     direct |= {f"ARIMA_{''.join(map(str, o))}": arima(train, time, value, by, o, test_size, step, large) for o in orders}
     keys = [*by, "step"]
     for name, ahead in direct.items():
-        joined = test.join(ahead.select(*keys, F.col("forecast").alias("prediction")), keys, "left")
+        joined = join_facts(test, ahead.select(*keys, F.col("forecast").alias("prediction")), keys, "left")
         tables.append(joined.select(F.lit(name).alias("model"), *by, time, "label", "prediction"))
     return reshape.stack(tables)
 
