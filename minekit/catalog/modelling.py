@@ -485,6 +485,27 @@ def hierarchical_clouds(spark, folder):
     return _cluster_report(unsupervised.hierarchical(_clouds(spark, folder), 3)[0])
 
 
+@query(_CLOUD_SQL)
+def single_linkage_clouds(spark, folder):
+    rows = _clouds(spark, folder)
+    return _cluster_report(unsupervised.single_linkage(rows, ["o_orderkey"], "point", 3))
+
+
+@query(_CLOUD_SQL)
+def ward_linkage_clouds(spark, folder):
+    return _cluster_report(unsupervised.linkage(_clouds(spark, folder), ["o_orderkey"], "point", 3, "ward", micro=200))
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+ near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_distance(a.v, b.v) <= 1.1),
+ reach AS (SELECT vec_id, vec_id AS least FROM e UNION SELECT b, least FROM reach JOIN near ON a = vec_id),
+ found AS (SELECT vec_id, min(least) AS least FROM reach GROUP BY 1)
+ SELECT vec_id, CAST(dense_rank() OVER (ORDER BY least) - 1 AS INTEGER) AS prediction FROM found""")
+def embedding_linkage(spark, folder):
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return unsupervised.single_linkage(rows, ["vec_id"], "embedding", height=1.1).select("vec_id", "prediction")
+
+
 @query()
 def embedding_clusters(spark, folder):
     plane = unsupervised.plane(points(spark, folder), [f"e{i}" for i in range(64)])
