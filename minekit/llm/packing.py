@@ -43,7 +43,7 @@ class WordCache:
     it becomes the old one, and words met again come back from there, so frequent words stay and rare ones go.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 500_000):
         self.encode, self.most = encode, most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
