@@ -20,6 +20,8 @@ from .common import in_batches
 WINDOW = 13
 #: Benchmark text in one automaton, in bytes. More is scanned in several passes, one automaton each.
 BLOCK_BYTES = 32 << 20
+#: Words of one part of an item; a block has at most twice as many, so they have code points to spare.
+BLOCK_WORDS = 500_000
 #: Documents that are scanned as one string; longer ones in runs that overlap by a window.
 _RUN = 1 << 20
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -36,17 +38,17 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Windows:
     """The automaton over the windows of `items`, pairs of (id, text)."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         self.codes: dict[bytes, str] = {}
         self.longest = window
-        owners: dict[str, set[str]] = {}
+        owners: dict[str, set[str | None]] = {}
         for item, text in items:
             coded = "".join(map(self._code, words_of(text)))
             for at in range(max(1, len(coded) - window + 1) if coded else 0):
                 owners.setdefault(coded[at:at + window], set()).add(item)
         self.automaton = ahocorasick.Automaton()
         for coded, own in owners.items():
-            self.automaton.add_word(coded, (len(coded), tuple(sorted(own))))
+            self.automaton.add_word(coded, (len(coded), tuple(_in_order(own))))
         self.automaton.make_automaton()
         self.empty = not owners
 
@@ -70,6 +72,11 @@ class Windows:
                     yield at + end + 1 - length, at + end + 1, items
 
 
+def _in_order(items: set[str | None]) -> list[str | None]:
+    """Ids as sorted strings; items without an id share one null, which comes last."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping or adjacent spans as one."""
     out: list[tuple[int, int]] = []
@@ -97,17 +104,32 @@ def _offsets(text: bytes, spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark in blocks that fit one automaton; rows come one partition at a time."""
-    block, size = [], 0
-    rows = benchmark.select(F.col(id).cast("string").alias("id"), F.col(text).cast("binary").alias("text")).where(
-        "id is not null and text is not null")
+def _parts(text: bytes, window: int) -> Iterator[tuple[bytes, int]]:
+    """A text and its number of words; one of very many words in parts that overlap, so that each window is in one."""
+    words = words_of(text)
+    if len(words) <= BLOCK_WORDS:
+        yield text, len(words)
+        return
+    for at in range(0, len(words) - window + 1, BLOCK_WORDS):
+        part = words[at:at + BLOCK_WORDS + window - 1]
+        yield b" ".join(part), len(part)
+
+
+def _blocks(benchmark: DataFrame, id: str, text: str, window: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The benchmark in blocks that fit one automaton (a block's words have a code point each); rows come one
+    partition at a time."""
+    block, size, count = [], 0, 0
+    rows = benchmark.select(F.col(id).cast("string").alias("id"), F.col(text).cast("binary").alias("text")).where("text is not null")
     for row in rows.toLocalIterator():
-        block.append((row["id"], bytes(row["text"])))
-        size += len(block[-1][1])
-        if size >= BLOCK_BYTES:
-            yield block
-            block, size = [], 0
+        for part, words in _parts(bytes(row["text"]), window):
+            if block and count + words > 2 * BLOCK_WORDS:
+                yield block
+                block, size, count = [], 0, 0
+            block.append((row["id"], part))
+            size, count = size + len(part), count + words
+            if size >= BLOCK_BYTES:
+                yield block
+                block, size, count = [], 0, 0
     if block:
         yield block
 
@@ -140,7 +162,7 @@ def _pass(rows: DataFrame, text: str, items: list[tuple[str, bytes]], window: in
                 hits += [(s["start"], s["end"]) for s in known["words"]]
             spans = merged(hits)
             found.append({
-                "n_words": len(words), "n_hit": sum(b - a for a, b in spans), "items": sorted(own),
+                "n_words": len(words), "n_hit": sum(b - a for a, b in spans), "items": _in_order(own),
                 "words": [{"start": a, "end": b} for a, b in spans], "spans": _offsets(raw, spans),
             })
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(found, _FOUND)], names=["row", "hits"])
@@ -154,14 +176,15 @@ def hits(
     window: int = WINDOW,
 ) -> DataFrame:
     """`row` (the columns of `docs` as a struct) and `hits`: `n_words`, `n_hit` (words inside an occurrence of a
-    window), `items` (ids with an occurrence, as sorted strings), `words` (spans of hit words, by number) and
+    window), `items` (ids with an occurrence, as sorted strings; items without an id hit as others do and appear as
+    one null, which `items_sha256` leaves out), `words` (spans of hit words, by number) and
     `spans` (the same as offsets in code points of the text).
 
     An item shorter than a window, but not empty, is one window. Null texts and empty ones have no words; items
     without words never occur. Without any item nothing is hit. A benchmark larger than `BLOCK_BYTES` is scanned in several passes.
     """
     rows = docs.select(F.struct("*").alias("row"))
-    for block in _blocks(benchmark, item, item_text):
+    for block in _blocks(benchmark, item, item_text, window):
         rows = _pass(rows, text, block, window)
     return rows if "hits" in rows.columns else _pass(rows, text, [], window)
 

@@ -13,7 +13,6 @@ import base64
 import codecs
 import gzip
 import hashlib
-import html.parser
 import re
 import uuid
 from collections.abc import Iterator
@@ -22,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import in_batches
+from ..functions.markup import TolerantParser
 
 VERSION = "WARC/1.1"
 #: Header names in the order they are written. Fixed values of the format, but for the two of the source.
@@ -46,7 +46,7 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(0).join(parts))}>"
 
 
-class Page(html.parser.HTMLParser):
+class Page(TolerantParser):
     """Title, links and visible text of a page, one line per block."""
 
     def __init__(self):
@@ -82,12 +82,12 @@ class Page(html.parser.HTMLParser):
 
     @property
     def text(self) -> str:
-        lines = (re.sub(r"[ \t\r\f\v\xa0]+", " ", line).strip() for line in "".join(self.parts).split("\n"))
+        lines = (line.strip() for line in re.sub(r"[ \t\r\f\v\xa0]+", " ", "".join(self.parts)).split("\n"))
         return "\n".join(line for line in lines if line)
 
 
 def read_page(markup: str) -> Page:
-    """Broken markup is read as far as it goes; it never fails."""
+    """Broken markup is read as far as it goes; unknown marked sections (`<![x`) are skipped. It never fails."""
     page = Page()
     page.feed(markup)
     page.close()

@@ -363,6 +363,12 @@ def test_derivatives_of_given_headers(spark):
     assert warc.derivatives(sources.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("end", ["<![foo[bar", "<![foo[bar]]>", "<![", "<![ [x", "<![CDATA[x", "<!x"])
+def test_unknown_marked_sections_are_skipped(end):
+    assert warc.read_page(f"<title>t</title><p>a</p>{end}").text.split("\n")[0] == "a"
+    assert warc.read_page(f"<p>a</p>{end}><p>b</p>").parts[0] == "\n"
+
+
 @given(st.text(alphabet="<>!-/[]&#;x1\"' =ap\n", max_size=200))
 @settings(max_examples=300, deadline=None)
 def test_any_markup_is_read(markup):

@@ -88,8 +88,8 @@ def judged(text, items, window=13):
             for start in range(len(words) - size + 1):
                 if words[start:start + size] == other[at:at + size]:
                     hit.update(range(start, start + size))
-                    own.add(str(item))
-    return len(words), len(hit), sorted(own)
+                    own.add(item if item is None else str(item))
+    return len(words), len(hit), sorted(own, key=str)
 
 
 def contamination_case():
@@ -103,17 +103,19 @@ def contamination_case():
     return docs, items
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 40])
-def test_decontamination_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, block_words", [(decontaminate.BLOCK_BYTES, decontaminate.BLOCK_WORDS), (40, 500_000), (1 << 20, 4)])
+def test_decontamination_equals_brute_force(spark, monkeypatch, block, block_words):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
     monkeypatch.setattr(decontaminate, "_RUN", 100)
     docs, items = contamination_case()
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.decontamination(as_docs(spark, docs), bench).collect()
     want = {}
     for i, t, _ in docs:
-        n, hit, own = judged(t, [x for x in items if x[0] is not None])
-        want[i] = (n, hit, len(own), hashlib.sha256(",".join(own).encode()).hexdigest(), hit > 0 and 20 * hit >= n)
+        n, hit, own = judged(t, items)  # an item without an id hits and counts, but has no name to join
+        named = ",".join(x for x in own if x is not None)
+        want[i] = (n, hit, len(own), hashlib.sha256(named.encode()).hexdigest(), hit > 0 and 20 * hit >= n)
     assert {r.doc_id: tuple(r)[1:6] for r in got} == want and len(got) == len(docs)
     texts = {i: t for i, t, _ in docs}
     for r in got:  # offsets point at the words in the original text
