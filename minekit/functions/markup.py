@@ -79,7 +79,11 @@ def _inside(node: Node, steps) -> bool:
 
 
 class TolerantParser(HTMLParser):
-    """The standard parser, with marked sections that it does not know (`<![x[`) read as comments up to the next `>`."""
+    """The standard parser, with marked sections that it does not know (`<![x[`) read as comments up to the next `>`.
+    It keeps no line numbers."""
+
+    def updatepos(self, i, j):
+        return j
 
     def parse_marked_section(self, i, report=1):
         try:
