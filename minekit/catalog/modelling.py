@@ -288,6 +288,20 @@ def newton_folds(spark, folder):
         F.count("*").alias("n"), F.round(loss, 6).alias("log_loss"), F.round(F.avg((F.col("y") - F.col("p")) ** 2), 6).alias("brier"))
 
 
+_RINGS_SQL = """rings AS (SELECT o_orderkey, o_orderkey % 2 AS ring FROM orders)"""
+
+
+@query(f"WITH {_RINGS_SQL} SELECT ring::DOUBLE AS label, count(*) AS n_rows, count(*) AS n_right FROM {_ranked('rings', 'ring', 'o_orderkey', 42)} WHERE rk > round(n * 0.75) GROUP BY 1")
+def kernel_svm_rings(spark, folder):
+    """A ring around another one, which no line parts: every held-out row is told apart by a kernel machine."""
+    angle, ring = F.radians(F.col("o_orderkey") % 360), F.col("o_orderkey") % 2
+    radius = 1 + 3 * ring + F.col("o_totalprice") / 1e6
+    rows = table(spark, folder, "orders").select("o_orderkey", ring.alias("ring"), (radius * F.cos(angle)).alias("x"), (radius * F.sin(angle)).alias("y"))
+    task = supervised.Task(rows, ["o_orderkey"], "ring", ["x", "y"])
+    held = supervised.holdout(task, "svm", kernel="rbf", gamma=0.5, dims=128, max_iter=30)
+    return held.groupBy("label").agg(F.count("*").alias("n_rows"), F.count_if(F.col("prediction") == F.col("label")).alias("n_right"))
+
+
 @query()
 def network_comparison(spark, folder):
     task = document_task(spark, folder)

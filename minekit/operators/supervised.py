@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier,
 )
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.bounds import complete_rows, join_facts, pinned
 from ..plans.hashing import row_text
 from . import balance, encode, metrics, newton, profile, reshape, split
+from .kernels import KernelMap
 
 
 @dataclass
@@ -108,8 +109,14 @@ def build_model(name: str, kind: str, n_rows: int, n_classes: int, n_features: i
         one = GBTClassifier(maxIter=p.get("n_estimators", 50), maxDepth=depth, stepSize=p.get("learning_rate", 0.1), seed=seed)
         return OneVsRest(classifier=one) if many else one
     if name == "svm":
-        one = LinearSVC(regParam=1.0 / (p.get("C", 1.0) * n_rows), maxIter=p.get("max_iter", 100))
-        return OneVsRest(classifier=one) if many else one
+        kernel = p.get("kernel", "linear")
+        seen = "features" if kernel == "linear" else "mapped"
+        one = LinearSVC(regParam=1.0 / (p.get("C", 1.0) * n_rows), maxIter=p.get("max_iter", 100), featuresCol=seen)
+        machine = OneVsRest(classifier=one, featuresCol=seen) if many else one
+        if kernel == "linear":
+            return machine
+        shape = {k: p[k] for k in ("gamma", "degree", "offset", "dims") if k in p}
+        return Pipeline(stages=[KernelMap(kernel=kernel, seed=seed, **shape), machine])
     if name == "mlp":
         layers = [n_features, *p.get("hidden", (32, 16)), max(n_classes, 2)]
         return MultilayerPerceptronClassifier(layers=layers, maxIter=p.get("max_iter", 100), solver="l-bfgs", seed=seed)
@@ -154,6 +161,8 @@ def _ready(task: Task, train: DataFrame, test: DataFrame) -> tuple[DataFrame, Da
 
 def weighted(task: Task, name: str, model: Estimator) -> Estimator:
     """The model with the weight column set where the task asks for weights and the model takes them."""
+    if isinstance(model, Pipeline):
+        return Pipeline(stages=[*model.getStages()[:-1], weighted(task, name, model.getStages()[-1])])
     if task.class_weight is None or not model.hasParam("weightCol") or name == "mlp":
         return model
     return model.copy({model.getParam("weightCol"): "weight"})
