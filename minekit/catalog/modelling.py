@@ -305,7 +305,7 @@ def kernel_svm_rings(spark, folder):
 @query()
 def network_comparison(spark, folder):
     task = document_task(spark, folder)
-    return R(supervised.compare_networks(task, networks={"NN_01": (16,), "NN_04": (32, 16)}, max_iter=30))
+    return R(supervised.compare_networks(task, shapes={"NN_01": (16,), "NN_04": (32, 16), "NN_05": (48, 24, 12)}, max_iter=10))
 
 
 @query()

@@ -10,14 +10,14 @@ from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.bounds import complete_rows, join_facts, pinned
 from ..plans.hashing import row_text
-from . import balance, encode, metrics, newton, profile, reshape, split
+from . import balance, encode, metrics, networks, newton, profile, reshape, split
 from .kernels import KernelMap
 
 
@@ -170,6 +170,8 @@ def weighted(task: Task, name: str, model: Estimator) -> Estimator:
 
 def _fit_predict(task: Task, name: str, params: Mapping, train: DataFrame, test: DataFrame) -> DataFrame:
     fitted, shown = _ready(task, train, test)
+    if name == "mlp" and (task.kind == "regression" or params.get("solver", "lbfgs") != "lbfgs"):
+        return _network(task, params, fitted, shown)
     model = build_model(
         name, task.kind, *task.sizes(), len(task.features), **with_overrides(name, params)
     )
@@ -179,6 +181,21 @@ def _fit_predict(task: Task, name: str, params: Mapping, train: DataFrame, test:
     return pinned(scored.select("id", "label", "prediction", "score"))
 
 
+def _network(task: Task, params: Mapping, fitted: DataFrame, shown: DataFrame) -> DataFrame:
+    """Predictions of a network trained by mini-batches: any of its activations, Adam or momentum."""
+    p = with_overrides("mlp", {"activation": "relu", "solver": "adam", "max_iter": 50} | dict(params))
+    net = networks.Net(tuple(p["hidden"]), p["activation"], p["solver"], p.get("learning_rate", 0.001), l2=p.get("l2", 1e-4), seed=p.get("seed", task.seed))
+    rows = fitted.select("id", "label", "weight", vector_to_array("features").alias("x"))
+    classes = max(task.n_classes(), 2) if task.kind == "classification" else 0
+    model = networks.fit(
+        rows, "label", "x", ["id"], [net], classes, F.array("weight"), p["max_iter"], p.get("batches", 4), p.get("early_stopping", False))[0]
+    scored = shown.select("id", "label", model.predict(vector_to_array("features")).alias("_out"))
+    if not classes:
+        return pinned(scored.select("id", "label", F.col("_out")[0].alias("prediction"), F.col("_out")[0].alias("score")))
+    place = F.array_position("_out", F.array_max("_out")) - 1
+    return pinned(scored.select("id", "label", place.cast("double").alias("prediction"), F.col("_out")[1].alias("score")))
+
+
 def holdout(task: Task, name: str, **params) -> DataFrame:
     """(id, label, prediction, score) of the held-out rows."""
     rows = split.train_test(task.table(), ["id"], task.train_size, task.seed, task.stratify())
@@ -389,12 +406,21 @@ def grid_search(task: Task, name: str, grid: Mapping[str, Sequence], k: int = 5,
     return table, held, best
 
 
-# The five network shapes that are compared; MLlib trains sigmoid layers by L-BFGS.
+# The five networks that are compared, their hidden layers, activations and solvers. MLlib trains the one
+# with L-BFGS (its layers are sigmoid), the others train by mini-batches.
 NETWORKS = {"NN_01": (16,), "NN_02": (64, 32, 16), "NN_03": (128, 64), "NN_04": (32, 16), "NN_05": (48, 24, 12)}
 
 
-def compare_networks(task: Task, k: int = 0, networks: Mapping[str, Sequence[int]] = NETWORKS, max_iter: int = 100) -> DataFrame:
-    models = {n: ("mlp", {"hidden": tuple(h), "max_iter": max_iter}) for n, h in networks.items()}
+SOLVERS = {
+    "NN_01": ("relu", "adam"), "NN_02": ("relu", "adam"), "NN_03": ("tanh", "adam"), "NN_04": ("logistic", "lbfgs"), "NN_05": ("tanh", "sgd"),
+}
+
+
+def compare_networks(task: Task, k: int = 0, shapes: Mapping[str, Sequence[int]] = NETWORKS, max_iter: int = 100) -> DataFrame:
+    models = {}
+    for name, hidden in shapes.items():
+        activation, solver = SOLVERS.get(name, ("logistic", "lbfgs"))
+        models[name] = ("mlp", {"hidden": tuple(hidden), "max_iter": max_iter, "activation": activation, "solver": solver})
     return compare_models(task, models, k, "Accuracy")
 
 
