@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import balance, clean, encode, metrics, newton, profile, reshape, split, supervised, unsupervised
+from ..operators import aggregates, balance, clean, encode, metrics, newton, profile, reshape, split, supervised, unsupervised
 from ..plans.neighbours import nearest
 from .registry import query, table
 
@@ -218,6 +219,29 @@ def custom_metrics(spark, folder):
     return R(metrics.evaluate(metrics.complete_pairs(priced(spark, folder)), own, ["model"]), 3)
 
 
+@query(f"""WITH {PRICED} SELECT model, round(sqrt(avg(greatest(label - prediction, 0) ** 2)), 3) AS shortfall,
+ round(avg(CASE WHEN abs(label - prediction) <= 1000 THEN (label - prediction) ** 2 / 2 ELSE 1000 * (abs(label - prediction) - 500) END), 2) AS huber
+ FROM p WHERE prediction IS NOT NULL GROUP BY 1""")
+def merged_metrics(spark, folder):
+    """User metrics as states that merge."""
+    def added(a, b):
+        return a[0] + b[0], a[1] + b[1]
+
+    def mean_of(loss, last):
+        def update(state, rows):
+            gap = rows["label"].to_numpy(dtype=float) - rows["prediction"].to_numpy(dtype=float)
+            return added(state, (float(loss(gap).sum()), len(gap)))
+
+        return aggregates.Aggregate(lambda: (0.0, 0), update, added, lambda s: last(s[0] / s[1]) if s[1] else None)
+
+    own = {
+        "shortfall": mean_of(lambda g: np.maximum(g, 0) ** 2, np.sqrt),
+        "huber": mean_of(lambda g: np.where(abs(g) <= 1000, g**2 / 2, 1000 * (abs(g) - 500)), float),
+    }
+    found = aggregates.aggregate(metrics.complete_pairs(priced(spark, folder)), own, ["label", "prediction"], ["model"])
+    return found.select("model", F.round("shortfall", 3).alias("shortfall"), F.round("huber", 2).alias("huber"))
+
+
 # ---------------------------------------------------------------- supervised learning
 
 
