@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import page_table
 from ..operators import pages, reshape
 from .registry import query, table
 
@@ -115,3 +116,11 @@ def page_catalogue(spark, folder):
     url = F.concat(F.lit("https://shop.example.com/list/"), (F.col("p_partkey") % 3).cast("string"))
     made = table(spark, folder, "part").select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"))
     return pages.catalogue(made)
+
+
+@query(_elements("li"))
+def page_nodes_in_sql(spark, folder):
+    """The table function in SQL, next to the columns of its page."""
+    page_table.register(spark)
+    found = spark.sql("SELECT p.page_id, n.pos, n.text FROM {pages} p, LATERAL page_nodes(p.html, 'li') n", pages=table(spark, folder, "pages"))
+    return found.select("page_id", "pos", "text")
