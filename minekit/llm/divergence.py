@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import in_batches, stored
+from .common import forget, in_batches, stored
 from ..plans.bounds import attach
 
 #: Slices of fewer pointers are finished column by column instead of being parted further.
@@ -221,6 +221,8 @@ def divergence(
              .fillna(0, ["total", "terms", "all_total"])
              .withColumn("index", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1))
     facts = stored(facts.withColumn("rest", F.when(F.col("terms") > 0, _share("0", "total", "terms")).otherwise(F.lit(0))), "group-facts")
+    forget(counts)
+    forget(groups)
 
     shares = attach(own, facts.drop("rest"), ["lang", "source"]).withColumn("p", _share("n", "total", "terms"))
     above = shares.withColumn("q", _share("all_n", "all_total", "terms")).where("p > q")
