@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.bounds import attach, cached, pinned
 from ..plans.hashing import shuffle_key
+from ..plans.linked import clusters_at, clusters_of
 from ..plans.ordering import row_numbers
 from ..plans.spanning import boruvka, spanning_tree
 from . import profile, reshape
@@ -93,21 +94,32 @@ def dendrogram(df: DataFrame, ids: Sequence[str], array: str) -> DataFrame:
     return spanning_tree(rows).withColumnRenamed("d", "height")
 
 
+#: Up to so many rows the tree is made first and then cut.
+TREE_ROWS = 5_000
+
+
 def single_linkage(df: DataFrame, ids: Sequence[str], array: str, k: int | None = None, height: float | None = None) -> DataFrame:
     """Rows with `prediction`: the clusters of single linkage cut into `k`, or at a height (merges up to it count).
 
     Exact; of equally long edges those of the later rows are cut first. Clusters are numbered by their first row.
+    Beyond `TREE_ROWS` rows the clusters are found without the tree, where a height gives them (see `plans.linked`).
     """
     if (k is None) == (height is None):
         raise ValueError("give either k or height")
     rows = pinned(_numbered(df, ids, array))
-    tree = spanning_tree(rows.select(F.col("_id").cast("long").alias("id"), F.col("_v").alias("v")))
-    if height is not None:
-        kept = tree.where(F.col("d") <= height)
-    else:
-        cut = tree.orderBy(F.desc("d"), F.desc("a"), F.desc("b")).limit(max(k - 1, 0)).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-        kept = tree.join(F.broadcast(cut), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-    members = boruvka(kept)[1].select(F.col("id").alias("_member"), F.col("component").alias("_component"))
+    points = rows.select(F.col("_id").cast("long").alias("id"), F.col("_v").alias("v"))
+    members = None
+    if points.count() > TREE_ROWS:
+        members = clusters_of(points, k) if height is None else clusters_at(points, height)
+    if members is None:
+        tree = spanning_tree(points)
+        if height is not None:
+            kept = tree.where(F.col("d") <= height)
+        else:
+            cut = tree.orderBy(F.desc("d"), F.desc("a"), F.desc("b")).limit(max(k - 1, 0)).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+            kept = tree.join(F.broadcast(cut), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
+        members = boruvka(kept)[1]
+    members = members.select(F.col("id").alias("_member"), F.col("component").alias("_component"))
     labelled = rows.join(members, rows["_id"] == members["_member"], "left").withColumn("_c", F.coalesce("_component", "_id"))
     numbers = row_numbers(labelled.select("_c").distinct(), [], ["_c"], "_n")
     found = attach(labelled, numbers, ["_c"]).withColumn("prediction", (F.col("_n") - 1).cast("int"))
