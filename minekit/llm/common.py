@@ -9,12 +9,8 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..plans.bounds import shared_dir
+from ..plans.bounds import shared_dir, small_batches
 
-#: Spark fills Arrow batches up to this many bytes of text while one of these operators is planned, unless the session
-#: sets a limit of its own: a batch is held several times by a task, next to those of its neighbours.
-BATCH_BYTES = 4 << 20
-_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,9 +64,7 @@ def in_batches(
             for part in _slices(batch):
                 yield function(part, state) if start else function(part)
 
-    conf = df.sparkSession.conf
-    if conf.get(_BATCH_LIMIT, None) is None:
-        conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from ..functions.markup import parse, pick, selector_steps
+from ..functions.markup import Node, parse, pick, selector_steps
 from ..functions.text import absolute_url
+from ..plans.bounds import small_batches
 
 
 def visible(html: Column) -> Column:
@@ -66,26 +69,41 @@ def links(
     return rows.select("page_id", "pos", "href", absolute_url(F.col("url"), F.col("href")).alias("absolute"))
 
 
-def _scan(pages: DataFrame, schema: str, per_page, *carried: str) -> DataFrame:
-    """Run a small per-page function over Arrow batches; its rows follow the carried columns."""
-    names = [part.strip().split(" ")[0].strip("`") for part in schema.split(",")]
+#: Pages that are parsed before their rows are handed on.
+_PAGES = 64
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for *keys, html in batch.itertuples(index=False, name=None):
-                rows.extend((*keys, *row) for row in per_page(html or ""))
-            yield pd.DataFrame(rows, columns=names)
 
-    return pages.select(*carried, "html").mapInPandas(run, schema)
+def _scan(pages: DataFrame, schema: str, per_page: Callable[[Node], Iterable[tuple]], *carried: str) -> DataFrame:
+    """Run a small function over the tree of every page; its rows follow the carried columns.
+
+    Few pages are held at a time, and pages from few files are dealt to all cores first.
+    """
+    made = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _PAGES):
+                rows = []
+                for *keys, html in zip(*(column.to_pylist() for column in batch.slice(at, _PAGES).columns)):
+                    tree = parse(html or "")
+                    rows.extend((*keys, *row) for row in per_page(tree))
+                    tree.release()
+                yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], f.type) for i, f in enumerate(made)], schema=made)
+
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    wanted = pages.select(*carried, "html")
+    if len(pages.inputFiles()) < cores:
+        wanted = wanted.repartition(4 * cores)
+    small_batches(pages.sparkSession)
+    return wanted.mapInArrow(run, schema)
 
 
 def selected_text(pages: DataFrame, selector: str, limit: int | None = None, strip: bool = True) -> DataFrame:
     """(page_id, pos, text) of the elements a selector matches, in page order."""
     selector_steps(selector)
 
-    def per_page(html):
-        for pos, node in enumerate(parse(html).select(selector)[:limit]):
+    def per_page(page):
+        for pos, node in enumerate(page.select(selector)[:limit]):
             yield pos, node.text("", strip)
 
     id_type = pages.schema["page_id"].dataType.simpleString()
@@ -96,8 +114,8 @@ def table_cells(pages: DataFrame, index: int = 0, attrs: Mapping[str, str] | Non
     """(page_id, row, col, is_header, text) of the n-th table of each page."""
     wanted = dict(attrs or {})
 
-    def per_page(html):
-        tables = [t for t in parse(html).select("table") if all(t.attrs.get(k) == v for k, v in wanted.items())]
+    def per_page(page):
+        tables = [t for t in page.select("table") if all(t.attrs.get(k) == v for k, v in wanted.items())]
         if len(tables) <= index:
             return
         for i, line in enumerate(tables[index].select("tr")):
@@ -123,8 +141,8 @@ def records(pages: DataFrame, item_selector: str, fields: Mapping[str, Mapping])
     for selector in (item_selector, *(s["selector"] for s in specs)):
         selector_steps(selector)
 
-    def per_page(html):
-        for pos, block in enumerate(parse(html).select(item_selector)):
+    def per_page(page):
+        for pos, block in enumerate(page.select(item_selector)):
             yield (pos, *[pick(block, s) for s in specs])
 
     id_type = pages.schema["page_id"].dataType.simpleString()
@@ -161,7 +179,7 @@ CATALOGUE_FIELDS = {
 
 
 def catalogue(pages: DataFrame, item_selector: str = ".thumbnail", fields: Mapping = CATALOGUE_FIELDS) -> DataFrame:
-    """Distinct product records of all pages, with the page they came from and absolute links."""
-    found = records(pages, item_selector, fields)
+    """Distinct product records of all pages, with the page they came from and absolute links. Equal pages are read once."""
+    found = records(pages.select(F.lit(0).alias("page_id"), "url", "html").distinct(), item_selector, fields)
     link = F.when(F.col("detail_href").isNotNull(), absolute_url(F.col("url"), F.col("detail_href")))
     return found.select(*fields, F.col("url").alias("source_url"), link.alias("detail_url")).distinct()

@@ -14,6 +14,16 @@ BROADCAST_ROWS = "spark.minekit.maxBroadcastRows"
 GROUP_ROWS = "spark.minekit.maxGroupRows"
 _DEFAULTS = {BROADCAST_ROWS: 100_000, GROUP_ROWS: 1_000_000}
 
+#: Spark fills Arrow batches up to this many bytes while Python operators are planned, unless the session sets a limit
+#: of its own: a batch is held several times by a task, next to those of its neighbours.
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH_LIMIT, None) is None:
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
 
 def limit_of(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(name, str(_DEFAULTS[name])))
