@@ -34,6 +34,9 @@ _BLOCKS = {
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table",
     "td", "th", "tr", "ul", "title", "body", "head", "html",
 }
+_CONTROLS = re.compile(r"[\x00-\x1f\x7f]+")
+#: Runs of blanks, but for a single space, which stays as it is.
+_BLANKS = re.compile(r"[\t\r\f\v\xa0][ \t\r\f\v\xa0]*| [ \t\r\f\v\xa0]+")
 _HIDDEN = {"script", "style", "noscript", "template"}
 
 
@@ -82,7 +85,7 @@ class Page(TolerantParser):
 
     @property
     def text(self) -> str:
-        lines = (line.strip() for line in re.sub(r"[ \t\r\f\v\xa0]+", " ", "".join(self.parts)).split("\n"))
+        lines = (line.strip() for line in _BLANKS.sub(" ", "".join(self.parts)).split("\n"))
         return "\n".join(line for line in lines if line)
 
 
@@ -96,7 +99,7 @@ def read_page(markup: str) -> Page:
 
 def serialise(headers: dict[str, str], block: bytes) -> bytes:
     """One gzip member with a record; control characters in header values become spaces."""
-    lines = [VERSION, *(f"{n}: {re.sub(r'[\x00-\x1f\x7f]+', ' ', headers[n])}" for n in HEADERS if n in headers)]
+    lines = [VERSION, *(f"{n}: {_CONTROLS.sub(' ', headers[n])}" for n in HEADERS if n in headers)]
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 6, mtime=0)
 
 

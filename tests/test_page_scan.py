@@ -1,6 +1,8 @@
 """Pages are read a few at a time, spread over tasks, and equal ones once."""
 
 import gc
+import random
+import re
 import weakref
 
 from pyspark.sql import functions as F
@@ -66,3 +68,35 @@ def test_rows_follow_in_small_batches(spark, monkeypatch):
     rows = [(i, None, f"<p>{i}</p><p>b</p>" if i % 2 else None) for i in range(20)]
     found = pages.selected_text(table(spark, rows), "p").orderBy("page_id", "pos").collect()
     assert [(r.page_id, r.pos, r.text) for r in found] == [(i, n, t) for i in range(1, 20, 2) for n, t in ((0, str(i)), (1, "b"))]
+
+
+class Log(markup.TolerantParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.seen = []
+
+    def handle_starttag(self, tag, attrs):
+        self.seen.append((tag, attrs))
+
+    def handle_endtag(self, tag):
+        self.seen.append(f"/{tag}")
+
+
+def test_plain_tags_are_read_as_the_standard_parser_does(monkeypatch):
+    bits = ['<a href="x">', '<A HREF="y" b-c="z">', '<a b="1"c="2">', "<a b='1'>", '<a href="x', '<p', ">", "<br/>", "</p>", "</P >", "<script>", "</script>",
+            '"', " text ", '<a x="&lt;">', "<!--", "-->", "<style>"]
+    draw = random.Random(1)
+    pages_ = ["".join(draw.choices(bits, k=draw.randint(1, 12))) for _ in range(4000)]
+
+    def read(text):
+        log = Log()
+        log.feed(text)
+        log.close()
+        return log.seen
+
+    found = [read(p) for p in pages_]
+    assert markup._TAGS
+    monkeypatch.setattr(markup, "_PLAIN_TAG", re.compile("(?!)"))
+    monkeypatch.setattr(markup, "_PLAIN_END", re.compile("(?!)"))
+    markup._TAGS.clear()
+    assert [read(p) for p in pages_] == found and not markup._TAGS
