@@ -201,18 +201,24 @@ class CollectionTransform:
         """Where the symbols put before the suffixes at `place` take them, once all are inserted."""
         leaf = np.searchsorted(self._starts, place, "right") - 1
         leaf = np.minimum(leaf, len(self._starts) - 2)
-        inside = place - self._starts[leaf]
+        first, size = self._starts[leaf], np.diff(self._starts)[leaf]
+        inside = place - first
         upto = np.cumsum(self._counts, axis=1, dtype=np.int32)
         total = upto[:, -1].astype(np.int64)
         total[0] = self.n  # the pieces' empty suffixes come first
-        found = np.cumsum(total)[inserted.astype(np.int64) - 1] + upto[inserted, leaf] - self._counts[inserted, leaf]
-        width = int(inside.max())
+        found = np.cumsum(total)[inserted.astype(np.int64) - 1] + upto[inserted, leaf]
+        # What is counted one by one lies between the place and the nearer end of its leaf.
+        back = inside * 2 > size
+        found[~back] -= self._counts[inserted, leaf][~back]
+        span = np.where(back, size - inside, inside)
+        width = int(span.max())
         if width:
             padded = np.concatenate((self.transform, np.zeros(width, np.uint8)))
-            rows = np.ndarray((len(self.transform) + 1, width), np.uint8, padded, 0, (1, 1))[self._starts[leaf]]
+            rows = np.ndarray((len(self.transform) + 1, width), np.uint8, padded, 0, (1, 1))[np.where(back, place, first)]
             same = rows == inserted[:, None]
-            same &= np.arange(width, dtype=np.uint16) < inside[:, None].astype(np.uint16)
-            found += np.bitwise_count(np.packbits(same, axis=1)).sum(axis=1, dtype=np.int64)
+            same &= np.arange(width, dtype=np.uint16) < span[:, None].astype(np.uint16)
+            counted = np.bitwise_count(np.packbits(same, axis=1)).sum(axis=1, dtype=np.int64)
+            found += np.where(back, -counted, counted)
         return found
 
     def _insert(self, target: np.ndarray, preceding: np.ndarray) -> None:

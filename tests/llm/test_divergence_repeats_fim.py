@@ -240,3 +240,25 @@ def test_any_cut_of_a_text_counts_alike(text, step, data):
     token = data.draw(st.integers(0, len(units)))
     before = "".join(units[:token])
     assert counted.start_of(token) == (len(before), len(before.encode()))
+
+
+def test_symbols_are_counted_from_the_nearer_end_of_a_leaf(monkeypatch):
+    """The transform of pieces with long leaves is the last column of their sorted suffixes."""
+    draw = np.random.default_rng(3)
+    pieces = [bytes(draw.integers(97, 100, int(draw.integers(8, 30))).astype(np.uint8)) for _ in range(40)]
+    monkeypatch.setattr(repeats, "LEAF", 16)
+    monkeypatch.setattr(repeats, "MOST_IN_LEAF", 24)
+    widths = []
+    real = np.packbits
+    monkeypatch.setattr(repeats.np, "packbits", lambda a, **k: widths.append(a.shape[1]) or real(a, **k))
+    made = repeats.CollectionTransform(pieces, 8)
+    joined = sorted((p[i:], n, p[i - 1:i]) for n, p in enumerate(pieces) for i in range(len(p) + 1))
+    assert len(made.transform) == len(joined)
+    assert max(widths) <= 12  # the whole leaf before
+    symbols = {0: b"", **{n + 1: bytes([c]) for n, c in enumerate(sorted(set(b"".join(pieces))))}}
+    suffixes = [b"".join(pieces)[s:] for s in made.suffix.tolist()]
+    ends = np.cumsum([len(p) for p in pieces])
+    own = [x[:e - s] for x, s, e in zip(suffixes, made.suffix.tolist(), ends[np.searchsorted(ends, made.suffix, "right").clip(0, len(pieces) - 1)].tolist())]
+    long = [i for i, (text, _, _) in enumerate(joined) if len(text) >= 8]
+    assert [own[i][:8] for i in long] == [joined[i][0][:8] for i in long]
+    assert sorted(symbols[c] for c in made.transform.tolist()) == sorted(p for _, _, p in joined)
