@@ -60,9 +60,12 @@ def in_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start() if start else None
+        drop_held(state)
         for batch in batches:
             for part in _slices(batch):
                 yield function(part, state) if start else function(part)
+            del batch
+        pa.default_memory_pool().release_unused()  # the worker stays, next to those of later stages
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -80,6 +83,15 @@ def in_worker(name: str, make: Callable[[], object]) -> object:
     return held[name]
 
 
+def drop_held(but: object = None) -> None:
+    """Forget what `in_worker` keeps for another operator, as a worker outlives the stage that asked for it."""
+    import pyspark
+
+    held = vars(pyspark).get("_minekit_held", {})
+    if not any(kept is but for kept in held.values()):
+        held.clear()
+
+
 def _slices(batch: pa.RecordBatch, most: int = 2048) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, most):
         yield batch.slice(at, most)

@@ -420,3 +420,14 @@ def test_pipeline_runs_on_odd_tables(spark, messy, none, tmp_path):
         spark.createDataFrame([(1, "beta gamma"), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         spark.createDataFrame([(1, 1, 1), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         assert (corpus_pipeline.run(spark, folder).count() > 0) == (name == "messy")
+
+
+def test_what_a_worker_keeps_goes_when_another_operator_starts():
+    from minekit.llm import common
+
+    kept = common.in_worker("words", lambda: ["a"])
+    common.drop_held(kept)
+    assert common.in_worker("words", lambda: ["b"]) is kept
+    common.drop_held()
+    assert common.in_worker("words", lambda: ["b"]) == ["b"]
+    common.drop_held()
