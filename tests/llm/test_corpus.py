@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -195,6 +197,45 @@ def test_long_texts_are_encoded_in_parts(monkeypatch):
     assert [x.tolist() for x in cache.ids_of(texts)] == [cache.whole(t or "") for t in texts]
 
 
+@given(st.lists(st.sampled_from([
+    "a", "ll", "S", "J", "\u030c", "\u0307", "\u0338", "É", "ÿ", "ß", "×", "÷", "º", "İ", "\u212a", "\u0e31", "漢", "'", "’", ".", "=", "<|", "|>", "_",
+    "<|endoftext|>", "<|ENDOFTEXT|>", "endoftext", "7", "٣", "½", " ", "\xa0", "\u2003", "\x1f", "\x7f"])))
+@settings(max_examples=600, deadline=None)
+def test_cut_words_tokenise_like_whole_texts(parts):
+    cache = _cache()
+    text = "".join(parts)
+    texts = ["a.b", text, "", text + ".", "'" + text]
+    assert [x.tolist() for x in cache.ids_of(texts)] == [cache.whole(t) for t in texts]
+
+
+def test_letters_beside_other_signs_are_encoded_once():
+    cache, met = packing.word_encoder(WORDS), []
+    encode = cache.encode
+    cache.encode = lambda words: met.extend(words) or encode(words)
+    texts = [f"{a}{w}{b} {n}" for w in ("bread", "Bread", "BREAD", "crème") for a in "(<\"" for b in ".,;!" for n in range(100, 120)]
+    want = _cache().whole
+    assert [x.tolist() for x in cache.ids_of(texts)] == [want(t) for t in texts]
+    assert sorted(met) == sorted({"bread", "crème", *"(<\".,;!0123456789"})
+
+
+@pytest.mark.parametrize("change", ["split", "fold", "added"])
+def test_words_of_other_tokenizers_are_not_cut(tmp_path, change):
+    from tokenizers import Tokenizer
+
+    kind = json.loads(Path(WORDS).read_text())
+    if change == "split":
+        kind["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "\\S+"
+    elif change == "fold":
+        kind["normalizer"] = None
+    else:
+        kind["added_tokens"].append(kind["added_tokens"][0] | {"id": 49408, "content": "!!"})
+    (path := tmp_path / "other.json").write_text(json.dumps(kind))
+    cache, tokenizer = packing.word_encoder(str(path)), Tokenizer.from_file(str(path))
+    texts = ["Bread, bread. (it's) 12", "a!!b !!! É.", "<|endoftext|>x"]
+    assert cache.special is None
+    assert [x.tolist() for x in cache.ids_of(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def _cache(made=[]):
     if not made:
         from tokenizers import Tokenizer
